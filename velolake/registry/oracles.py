@@ -534,6 +534,9 @@ SELECTS: dict[str, str] = {
     "stream_split": """SELECT coalesce(error_reason, 'valid') AS outcome, count(*) AS events
         FROM event_outcomes GROUP BY ALL""",
     "stream_valid_sink": "SELECT * FROM valid_events",
+    "stream_dlq_sink": """SELECT error_reason, 'gbfs_station_status' AS source, count(*) AS dead_letters,
+        count(*) AS error_ids, count(*) FILTER (event_id % 50 = 2) AS cut_payloads
+        FROM event_outcomes WHERE error_reason IS NOT NULL GROUP BY ALL""",
     "stream_station_live": """SELECT * FROM valid_events WHERE (station_id, snapshot_timestamp) IN
         (SELECT (station_id, max(snapshot_timestamp)) FROM valid_events GROUP BY station_id)""",
     "stream_status_fact": """SELECT snapshot_date, count(*) AS snapshots,

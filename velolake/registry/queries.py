@@ -731,7 +731,12 @@ def stream_valid_sink(s: Sample) -> DataFrame:
 
 @query("stream_dlq_sink")
 def stream_dlq_sink(s: Sample) -> DataFrame:
-    return _split(s)[1].select("raw_payload", "error_reason", "source")
+    """Dead letters per reason; texts without a closing brace were cut in half."""
+    return _split(s)[1].groupBy("error_reason", "source").agg(
+        _rows().alias("dead_letters"),
+        F.count_distinct("error_id").alias("error_ids"),
+        F.count_if(~F.col("raw_payload").endswith("}")).alias("cut_payloads"),
+    )
 
 
 @query("stream_station_live")

@@ -44,6 +44,10 @@ def validate_events(messages: DataFrame, *keep: str, detected_at: Column | None
     The message is the text or binary column `value`. Each variant is parsed once and each
     field taken out once; the projections are stacked so that later ones refer to them.
     `keep` names columns to carry along; `detected_at` defaults to the current time.
+
+    The observed metrics `event_validation` count events and dead letters. They also keep
+    the optimizer from moving a filter on the reason below the validation, where the
+    parsing would be repeated for the filter.
     """
     payload, text = _payload_and_text(messages)
     parsed = messages.select(
@@ -67,7 +71,7 @@ def validate_events(messages: DataFrame, *keep: str, detected_at: Column | None
     reason = F.coalesce(F.col("shape_error"), _field_error(instant))
     epoch = F.col("last_reported")
     plausible = (F.col("last_reported_type") == "BIGINT") & (epoch > EPOCH_SECONDS_ABOVE) & (epoch < EPOCH_SECONDS_BELOW)
-    return typed.select(
+    validated = typed.select(
         *keep,
         "raw_payload",
         reason.alias("error_reason"),
@@ -76,7 +80,10 @@ def validate_events(messages: DataFrame, *keep: str, detected_at: Column | None
         *[(F.col(name) == 1).alias(name) for name in FLAG_FIELDS],
         F.when(plausible, F.timestamp_seconds(epoch)).alias("last_reported"),
         instant.alias("snapshot_timestamp"),
-        F.col("detected_at"),
+        "detected_at",
+    )
+    return validated.observe(
+        "event_validation", F.count(F.lit(1)).alias("events"), F.count("error_reason").alias("dead_letters")
     )
 
 
