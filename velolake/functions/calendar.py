@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 TIME_OF_DAY_BANDS = ((5, "late night"), (9, "morning rush"), (15, "daytime"), (19, "evening rush"))
 TIME_OF_DAY_REST = "night"
 
+# Names by number, from Sunday = 1 and January = 1.
+DAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
+MONTH_NAMES = ("January", "February", "March", "April", "May", "June",
+               "July", "August", "September", "October", "November", "December")
+
 
 def time_of_day(hour: Column) -> Column:
     bands = F
@@ -23,8 +28,8 @@ def is_weekend_day(day: Column) -> Column:
 
 
 def day_name(day: Column) -> Column:
-    return F.date_format(day, "EEEE")
+    return F.element_at(F.lit(list(DAY_NAMES)), F.dayofweek(day))
 
 
 def month_name(day: Column) -> Column:
-    return F.date_format(day, "MMMM")
+    return F.element_at(F.lit(list(MONTH_NAMES)), F.month(day))

@@ -92,6 +92,7 @@ def clean_trips(staged: DataFrame) -> DataFrame:
     started = F.col("started_at")
     seconds = F.timestamp_diff("SECOND", started, F.col("ended_at"))
     minutes = integer_div(10 * seconds + 3, F.lit(6).cast("bigint"))
+    trip_date = F.to_date(started)
     metres = great_circle_metres(*[F.col(n) for n in ("start_lat", "start_lng", "end_lat", "end_lng")])
     return staged.where(valid_trip()).select(
         "ride_id",
@@ -99,13 +100,13 @@ def clean_trips(staged: DataFrame) -> DataFrame:
         "member_casual",
         "started_at",
         "ended_at",
-        F.to_date(started).alias("trip_date"),
+        trip_date.alias("trip_date"),
         from_hundredths(minutes).alias("ride_duration_minutes"),
-        F.year(started).cast("bigint").alias("ride_year"),
-        F.month(started).cast("bigint").alias("ride_month"),
-        day_name(started).alias("ride_day_of_week"),
+        F.year(trip_date).cast("bigint").alias("ride_year"),
+        F.month(trip_date).cast("bigint").alias("ride_month"),
+        day_name(trip_date).alias("ride_day_of_week"),
         F.hour(started).cast("bigint").alias("ride_hour"),
-        is_weekend_day(started).alias("is_weekend"),
+        is_weekend_day(trip_date).alias("is_weekend"),
         time_of_day(F.hour(started)).alias("time_of_day"),
         "start_station_id",
         "start_station_name",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velolake.operators import marts, staging, stations, status, trips, warehouse
-from velolake.session import stored, use_reference_settings
+from velolake.session import stored, use_library_settings
 from velolake.sources import samples
 
 
@@ -16,7 +16,7 @@ class Sample:
     """Layers over `folder`; tables with several readers are stored once in the shared folder."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.spark = use_reference_settings(spark)
+        self.spark = use_library_settings(spark)
         self.folder = folder
 
     @cached_property

@@ -11,19 +11,30 @@ from pyspark.sql import DataFrame, SparkSession
 BROADCAST_ROW_LIMIT = 100_000
 
 
+# Settings that change results: instants are UTC, a repeated key in an event keeps its last value.
+RESULT_SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.variant.allowDuplicateKeys": "true",
+}
+
+# HotSpot never compiles a method above 8000 bytes of bytecode. Beyond it, Spark is to
+# generate code per operator, in small methods, instead of one method per stage.
+SPEED_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
 def build_session(app_name: str = "velolake", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the library relies on; extra keyword settings win.
 
     `conf` keys use "__" for ".", e.g. spark__sql__shuffle__partitions="64".
     """
     settings = {
-        "spark.sql.session.timeZone": "UTC",
         "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.variant.allowDuplicateKeys": "true",
         "spark.ui.enabled": "false",
+        **RESULT_SETTINGS,
+        **SPEED_SETTINGS,
     }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     builder = SparkSession.builder.appName(app_name)
@@ -34,13 +45,10 @@ def build_session(app_name: str = "velolake", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def use_reference_settings(spark: SparkSession) -> SparkSession:
-    """Put the two settings that change results on a session someone else built.
-
-    Instants are UTC, and a repeated key in an event keeps its last value.
-    """
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+def use_library_settings(spark: SparkSession) -> SparkSession:
+    """Put the settings that can be changed at run time on a session someone else built."""
+    for key, value in (RESULT_SETTINGS | SPEED_SETTINGS).items():
+        spark.conf.set(key, value)
     return spark
 
 
@@ -72,5 +80,5 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
-    """Whether a stored table is small enough to broadcast; counts at most limit + 1 rows."""
-    return df.limit(limit + 1).count() <= limit
+    """Whether a stored table is small enough to broadcast; its rows are counted from file footers."""
+    return df.count() <= limit

@@ -23,7 +23,9 @@ def raw_trips(spark: SparkSession, folder: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_linestatus", "l_returnflag"
     )
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    # Both tables grow with the data, so the join is a sort-merge join at every size; it
+    # also spreads the rows evenly, and adaptive execution splits a frequent order.
+    joined = lines.join(orders.hint("merge"), lines.l_orderkey == orders.o_orderkey)
     start = "o_orderdate + make_dt_interval(0, 0, cast((l_partkey * 7 + l_orderkey) % 1440 as int), 0)"
     length = "make_dt_interval(0, 0, 0, cast(l_quantity as bigint) * 60 + l_suppkey - 180)"
     return joined.selectExpr(

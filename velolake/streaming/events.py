@@ -27,6 +27,9 @@ DEAD_LETTER_SOURCE = "gbfs_station_status"
 EPOCH_SECONDS_ABOVE = 1_000_000_000
 EPOCH_SECONDS_BELOW = 253_402_300_800  # the year 10000
 
+# A JSON text that starts like this is an object, if it is JSON at all.
+OBJECT_START = r"^[ \t\r\n]*\{"
+
 # ISO-8601 texts: the usual form, and every accepted one. Groups of the second: 1 year,
 # 3 month, 4 day, 5 hour, 7 minute, 8 second, 9 fraction, 10 offset; 2 and 6 are separators.
 USUAL_ISO = r"^(?!0000)\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?\z"
@@ -54,12 +57,12 @@ def validate_events(messages: DataFrame, *keep: str, detected_at: Column | None
         *keep,
         payload.alias("raw_payload"),
         F.try_parse_json(text).alias("event"),
+        text.rlike(OBJECT_START).alias("is_object"),
         (F.current_timestamp() if detected_at is None else detected_at).alias("detected_at"),
     )
-    is_object = F.schema_of_variant("event").startswith("OBJECT")
     opened = parsed.select(
         *keep, "raw_payload", "detected_at",
-        F.when(F.col("event").isNull(), NOT_JSON).when(~is_object, NOT_AN_OBJECT).alias("shape_error"),
+        F.when(F.col("event").isNull(), NOT_JSON).when(~F.col("is_object"), NOT_AN_OBJECT).alias("shape_error"),
         *[F.try_variant_get("event", f"$.{name}", "variant").alias(name) for name in FIELDS],
     )
     typed = opened.select(
@@ -67,11 +70,11 @@ def validate_events(messages: DataFrame, *keep: str, detected_at: Column | None
         *[F.try_variant_get(name, "$", kind).alias(name) for name, kind in _value_types().items()],
         *[F.schema_of_variant(name).alias(f"{name}_type") for name in FIELDS],
     )
-    instant = _instant(F.col("snapshot_timestamp"))
-    reason = F.coalesce(F.col("shape_error"), _field_error(instant))
+    timed = typed.select("*", _instant(F.col("snapshot_timestamp")).alias("instant"))
+    reason = F.coalesce(F.col("shape_error"), _field_error(F.col("instant")))
     epoch = F.col("last_reported")
     plausible = (F.col("last_reported_type") == "BIGINT") & (epoch > EPOCH_SECONDS_ABOVE) & (epoch < EPOCH_SECONDS_BELOW)
-    validated = typed.select(
+    validated = timed.select(
         *keep,
         "raw_payload",
         reason.alias("error_reason"),
@@ -79,7 +82,7 @@ def validate_events(messages: DataFrame, *keep: str, detected_at: Column | None
         *COUNT_FIELDS,
         *[(F.col(name) == 1).alias(name) for name in FLAG_FIELDS],
         F.when(plausible, F.timestamp_seconds(epoch)).alias("last_reported"),
-        instant.alias("snapshot_timestamp"),
+        F.col("instant").alias("snapshot_timestamp"),
         "detected_at",
     )
     return validated.observe(
@@ -157,12 +160,12 @@ def _field_error(instant: Column) -> Column:
         rules = rules.when(_given(name) & (F.col(f"{name}_type") != "BIGINT"), NOT_AN_INTEGER.format(name))
         rules = rules.when(_given(name) & (F.col(name) < 0), NEGATIVE.format(name))
     for name in FLAG_FIELDS:
-        numeric = F.col(f"{name}_type").rlike("^(BOOLEAN|BIGINT|DOUBLE|DECIMAL.*)$")
+        kind = F.col(f"{name}_type")
+        numeric = kind.isin("BOOLEAN", "BIGINT", "DOUBLE") | kind.startswith("DECIMAL")
         is_flag = numeric & F.coalesce(F.col(name).isin(0.0, 1.0), F.lit(False))
         rules = rules.when(_given(name) & ~is_flag, NOT_A_FLAG.format(name))
-    return rules.when(~_given("snapshot_timestamp") | _is_falsy(snapshot), NO_TIMESTAMP).when(
-        instant.isNull(), INVALID_TIMESTAMP
-    )
+    absent = ~_given("snapshot_timestamp") | _is_falsy(snapshot)
+    return rules.when(instant.isNull(), F.when(absent, NO_TIMESTAMP).otherwise(INVALID_TIMESTAMP))
 
 
 def _is_falsy(snapshot: Column) -> Column:
