@@ -13,7 +13,7 @@ from datetime import datetime
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from velolake.functions import trimmed
@@ -127,11 +127,11 @@ def audit_rows(checked: DataFrame, run_id: str | None = None, dag_id: str | None
 
 
 def finish_gate(layer: str, checked: DataFrame, audit_table: str | None = None,
-                run_id: str | None = None, dag_id: str | None = None) -> None:
+                run_id: str | None = None, dag_id: str | None = None) -> list[Row]:
     """Append every result to the audit table, then raise if any check failed.
 
     The checks are evaluated once: their audit rows, one per check, are what is
-    appended and what is decided on.
+    appended, decided on and returned.
     """
     spark = checked.sparkSession
     audited = audit_rows(checked, run_id, dag_id).collect()
@@ -140,6 +140,7 @@ def finish_gate(layer: str, checked: DataFrame, audit_table: str | None = None,
     failed = [f"{row.table_name}.{row.check_name}" for row in audited if row.status == "FAIL"]
     if failed:
         raise QualityGateError(f"{layer} quality gate FAILED: {', '.join(failed)}")
+    return audited
 
 
 # Batch layers ------------------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 from functools import reduce
 from operator import add, and_
 
@@ -54,9 +54,12 @@ def fact_station_status(status: DataFrame, stations: DataFrame) -> DataFrame:
     )
 
 
-def high_watermark(loaded: DataFrame) -> datetime:
-    """Newest loaded snapshot, or the epoch for an empty table; read from the newest day only."""
-    day = loaded.agg(F.max("snapshot_date")).first()[0]
+def high_watermark(loaded: DataFrame, newest_day: date | None = None) -> datetime:
+    """Newest loaded snapshot, or the epoch for an empty table; read from the newest day only.
+
+    Give `newest_day` when the catalog knows it; otherwise every file is opened to find it.
+    """
+    day = newest_day or loaded.agg(F.max("snapshot_date")).first()[0]
     if day is None:
         return EPOCH
     newest = loaded.where(F.col("snapshot_date") == F.lit(day))
@@ -69,11 +72,15 @@ def _instant(micros: int) -> datetime:
 
 
 def newer_than(status: DataFrame, watermark: datetime) -> DataFrame:
-    """Rows above the watermark; the literal is pushed into the scan."""
-    return status.where(F.col("snapshot_timestamp") > F.lit(watermark))
+    """Rows above the watermark; the literal is pushed into the scan, and prunes a table split by day."""
+    newer = status.where(F.col("snapshot_timestamp") > F.lit(watermark))
+    if "snapshot_date" in status.columns:
+        newer = newer.where(F.col("snapshot_date") >= F.lit(watermark.date()))
+    return newer
 
 
-def increment(status: DataFrame, stations: DataFrame, loaded: DataFrame, mode: str = "watermark") -> DataFrame:
+def increment(status: DataFrame, stations: DataFrame, loaded: DataFrame, mode: str = "watermark",
+              newest_day: date | None = None) -> DataFrame:
     """Fact rows to append to `loaded`.
 
     "watermark" takes snapshots newer than everything loaded, so a late row is ignored
@@ -81,7 +88,7 @@ def increment(status: DataFrame, stations: DataFrame, loaded: DataFrame, mode: s
     only the days that occur in `status` are compared.
     """
     if mode == "watermark":
-        return fact_station_status(newer_than(status, high_watermark(loaded)), stations)
+        return fact_station_status(newer_than(status, high_watermark(loaded, newest_day)), stations)
     if mode == "by_key":
         candidates = fact_station_status(status, stations)
         span = candidates.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()

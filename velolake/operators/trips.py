@@ -153,4 +153,5 @@ def dedupe_trips(trips: DataFrame) -> DataFrame:
     first = F.min(F.struct(*order)).alias("first")
     identified = trips.where(F.col("ride_id").isNotNull()).groupBy("ride_id").agg(first)
     anonymous = trips.where(F.col("ride_id").isNull())
-    return identified.select("ride_id", *[f"first.{name}" for name in ranked]).unionByName(anonymous)
+    one_each = identified.select("ride_id", *[f"first.{name}" for name in ranked])
+    return one_each.select(*trips.columns).unionByName(anonymous)

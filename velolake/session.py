@@ -33,6 +33,8 @@ def build_session(app_name: str = "velolake", master: str | None = None, **conf:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # Compiled stages are kept for more than a hundred plans of a long session.
+        "spark.sql.codegen.cache.maxEntries": "2000",
         **RESULT_SETTINGS,
         **SPEED_SETTINGS,
     }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,12 @@ class Layers:
             return self.read(layer, table)
         return self.spark.createDataFrame([], schema)
 
+    def newest_day(self, layer: str, table: str) -> date | None:
+        """The newest folder of a table that is split by day, from the catalog alone."""
+        days = self.spark.sql(f"SHOW PARTITIONS {self.name(layer, table)}")
+        newest = days.agg(F.max(F.try_to_date(F.regexp_extract("partition", r"=(\d{4}-\d{2}-\d{2})$", 1))))
+        return newest.first()[0]
+
     def refresh(self, df: DataFrame, layer: str, table: str) -> int:
         """Replace the table with `df`; returns the number of rows written.
 
