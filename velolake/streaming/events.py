@@ -30,12 +30,12 @@ EPOCH_SECONDS_BELOW = 253_402_300_800  # the year 10000
 # A JSON text that starts like this is an object, if it is JSON at all.
 OBJECT_START = r"^[ \t\r\n]*\{"
 
-# ISO-8601 texts: the usual form, and every accepted one. Groups of the second: 1 year,
+# ISO-8601 texts: the usual form, and every accepted one (week dates are not). Groups of the second: 1 year,
 # 3 month, 4 day, 5 hour, 7 minute, 8 second, 9 fraction, 10 offset; 2 and 6 are separators.
-USUAL_ISO = r"^(?!0000)\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?)?\z"
+USUAL_ISO = r"^(?!0000)\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})?)?\z"
 ANY_ISO = (
     r"^(?!0000)(\d{4})(-?)(\d{2})\2(\d{2})"
-    r"(?:[^Z](\d{2})(?:(:?)(\d{2})(?:\6(\d{2})(?:[.,](\d{1,6})\d*)?)?)?(Z|[+-]\d{2}(?::?\d{2})?)?)?\z"
+    r"(?:Z|[^Z](\d{2})(?:(:?)(\d{2})(?:\6(\d{2})(?:[.,](\d{1,6})\d*)?)?)?(Z|[+-]\d{2}(?::?\d{2})?)?)?\z"
 )
 
 FIELDS = ("station_id", *COUNT_FIELDS, *FLAG_FIELDS, "snapshot_timestamp", "last_reported")
