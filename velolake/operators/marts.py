@@ -38,28 +38,36 @@ def _rides_mart(groups: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def mart_daily_rides(fact: DataFrame, dates: DataFrame, riders: DataFrame, bikes: DataFrame) -> DataFrame:
+def hourly_totals(fact: DataFrame) -> DataFrame:
+    """The finest groups of both ride marts; stored once, they save a scan of the fact."""
+    return ride_totals(fact, "date_key", "ride_hour", "rider_type_key", "bike_type_key")
+
+
+def daily_from_totals(totals: DataFrame, dates: DataFrame, riders: DataFrame, bikes: DataFrame) -> DataFrame:
+    """The daily mart from totals whose keys include date, rider and bike."""
     days = dates.select("date_key", "day_name", "is_weekend")
-    groups = (
-        ride_totals(fact, "date_key", "rider_type_key", "bike_type_key")
-        .join(F.broadcast(riders), "rider_type_key")
-        .join(F.broadcast(bikes), "bike_type_key")
-        .join(days, "date_key")
-        .withColumnRenamed("date_key", "ride_date")
-    )
+    groups = _with_types(totals, riders, bikes).join(days, "date_key").withColumnRenamed("date_key", "ride_date")
     return _rides_mart(groups, "ride_date", "day_name", "is_weekend", "rider_type", "bike_type")
 
 
-def mart_hourly_rides(fact: DataFrame, riders: DataFrame, bikes: DataFrame) -> DataFrame:
-    groups = (
-        ride_totals(fact, "date_key", "ride_hour", "rider_type_key", "bike_type_key")
-        .join(F.broadcast(riders), "rider_type_key")
-        .join(F.broadcast(bikes), "bike_type_key")
-        .withColumnRenamed("date_key", "ride_date")
-    )
+def hourly_from_totals(totals: DataFrame, riders: DataFrame, bikes: DataFrame) -> DataFrame:
+    groups = _with_types(totals, riders, bikes).withColumnRenamed("date_key", "ride_date")
     return _rides_mart(groups, "ride_date", "ride_hour", "rider_type", "bike_type")
 
 
+def _with_types(totals: DataFrame, riders: DataFrame, bikes: DataFrame) -> DataFrame:
+    """Names of the two literal dimensions, which have two rows each."""
+    return totals.join(F.broadcast(riders), "rider_type_key").join(F.broadcast(bikes), "bike_type_key")
+
+
+def mart_daily_rides(fact: DataFrame, dates: DataFrame, riders: DataFrame, bikes: DataFrame) -> DataFrame:
+    return daily_from_totals(ride_totals(fact, "date_key", "rider_type_key", "bike_type_key"), dates, riders, bikes)
+
+
+def mart_hourly_rides(fact: DataFrame, riders: DataFrame, bikes: DataFrame) -> DataFrame:
+    return hourly_from_totals(hourly_totals(fact), riders, bikes)
+
+
 def station_departures(fact: DataFrame) -> DataFrame:
     return _station_trips(fact, "start_station_key", "total_departures")
 

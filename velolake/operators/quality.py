@@ -246,11 +246,19 @@ FACT_KEYS = {
 }
 
 
+# Dimensions of two rows each, whatever the size of the data.
+LITERAL_DIMENSIONS = ("dim_rider_type", "dim_bike_type")
+
+
 def orphan_facts(fact: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
-    """Facts with a key that no dimension row has (a NULL key is such a key)."""
+    """Facts with a key that no dimension row has (a NULL key is such a key).
+
+    The other dimensions should be stored tables, see warehouse.fact_trips.
+    """
     flagged = fact.select("ride_id", *FACT_KEYS)
     for key, (dimension, column) in FACT_KEYS.items():
         known = dimensions[dimension].select(F.col(column).alias(key), F.lit(True).alias(f"{key}_known"))
+        known = F.broadcast(known) if dimension in LITERAL_DIMENSIONS else known
         flagged = flagged.join(known, key, "left")
     return flagged.where(any_null(*[f"{key}_known" for key in FACT_KEYS])).select("ride_id", *FACT_KEYS)
 

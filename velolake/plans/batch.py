@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from velolake.operators import marts, quality, staging, stations, trips, warehouse
-from velolake.session import use_library_settings
+from velolake.session import stored, use_library_settings
 from velolake.sources.tables import Layers
 
 AUDIT_TABLE = "quality_audit"
@@ -81,8 +81,9 @@ class BatchRun:
     def build_analytics(self) -> None:
         dims, fact = self.dimensions(), self.layers.read("mart", "fact_trips")
         riders, bikes = dims["dim_rider_type"], dims["dim_bike_type"]
-        self._refresh(marts.mart_daily_rides(fact, dims["dim_date"], riders, bikes), "mart", "mart_daily_rides")
-        self._refresh(marts.mart_hourly_rides(fact, riders, bikes), "mart", "mart_hourly_rides")
+        totals = stored(marts.hourly_totals(fact), "hourly_totals")
+        self._refresh(marts.daily_from_totals(totals, dims["dim_date"], riders, bikes), "mart", "mart_daily_rides")
+        self._refresh(marts.hourly_from_totals(totals, riders, bikes), "mart", "mart_hourly_rides")
         self._refresh(marts.mart_station_performance(fact, dims["dim_station"]), "mart", "mart_station_performance")
 
     def check_analytics(self) -> None:

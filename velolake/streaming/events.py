@@ -41,15 +41,16 @@ ANY_ISO = (
 FIELDS = ("station_id", *COUNT_FIELDS, *FLAG_FIELDS, "snapshot_timestamp", "last_reported")
 
 
-def validate_events(messages: DataFrame, *keep: str, detected_at: Column | None = None) -> DataFrame:
+def validate_events(messages: DataFrame, *keep: str, detected_at: Column | None = None,
+                    metrics: str = "event_validation") -> DataFrame:
     """Messages with the event's columns, `raw_payload` and `error_reason` (NULL if valid).
 
     The message is the text or binary column `value`. Each variant is parsed once and each
     field taken out once; the projections are stacked so that later ones refer to them.
     `keep` names columns to carry along; `detected_at` defaults to the current time.
 
-    The observed metrics `event_validation` count events and dead letters. They also keep
-    the optimizer from moving a filter on the reason below the validation, where the
+    The observed `metrics` count events and dead letters; the name must be unique among the
+    validated inputs of one query. Observing also keeps the optimizer from moving a filter on the reason below the validation, where the
     parsing would be repeated for the filter.
     """
     payload, text = _payload_and_text(messages)
@@ -86,7 +87,7 @@ def validate_events(messages: DataFrame, *keep: str, detected_at: Column | None
         "detected_at",
     )
     return validated.observe(
-        "event_validation", F.count(F.lit(1)).alias("events"), F.count("error_reason").alias("dead_letters")
+        metrics, F.count(F.lit(1)).alias("events"), F.count("error_reason").alias("dead_letters")
     )
 
 

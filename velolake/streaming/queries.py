@@ -37,7 +37,8 @@ def stream_split(messages: DataFrame, valid_path: str, dead_letter_path: str, ch
         validated = validate_events(batch).persist()
         try:
             write_batch(valid_events(validated), valid_path, batch_id)
-            write_batch(dead_letters(validated), dead_letter_path, batch_id)
+            # Dead letters are few in most batches: rebalancing gives them few files.
+            write_batch(dead_letters(validated).hint("rebalance"), dead_letter_path, batch_id)
         finally:
             validated.unpersist()
 
