@@ -208,6 +208,13 @@ TABLES = {
     "valid_events": f"""
         SELECT station_id, {COUNTS}, {FLAGS}, last_reported, snapshot_timestamp
         FROM event_outcomes WHERE error_reason IS NULL""",
+    "known_events": """
+        SELECT * FROM valid_events WHERE num_docks_available IS NOT NULL
+            AND station_id IN (SELECT gbfs_station_id FROM dim_station WHERE gbfs_station_id IS NOT NULL)""",
+    "first_trips": """
+        SELECT * FROM int_trips_clean QUALIFY row_number() OVER (PARTITION BY ride_id
+            ORDER BY started_at, ended_at, rideable_type, member_casual, start_station_id) = 1""",
+    "first_dates": "SELECT DISTINCT trip_date FROM first_trips",
     "dlq": """
         SELECT error_reason, _ingested_at AS detected_at FROM event_outcomes WHERE error_reason IS NOT NULL""",
 }
@@ -432,6 +439,8 @@ SELECTS: dict[str, str] = {
     ),
     "dq_dim_date": _dimension("dim_date", "date_key"),
     "dq_dim_station": _dimension("dim_station", "station_key"),
+    "dq_dim_rider_type": _dimension("dim_rider_type", "rider_type_key"),
+    "dq_dim_bike_type": _dimension("dim_bike_type", "bike_type_key"),
     "dq_fact_trips": _all(
         _some("WAREHOUSE", "fact_trips"),
         _none("WAREHOUSE", "fact_trips", "ride_id_not_null", "ride_id IS NULL"),
@@ -539,6 +548,25 @@ SELECTS: dict[str, str] = {
         FROM event_outcomes WHERE error_reason IS NOT NULL GROUP BY ALL""",
     "stream_station_live": """SELECT * FROM valid_events WHERE (station_id, snapshot_timestamp) IN
         (SELECT (station_id, max(snapshot_timestamp)) FROM valid_events GROUP BY station_id)""",
+    "daily_batch": _all(
+        *[f"SELECT '{name}' AS table_name, count(DISTINCT ride_id) AS rows FROM int_trips_clean"
+          for name in ("raw_trips", "fact_trips")],
+        *[f"SELECT '{name}', count(*) FROM {source}" for name, source in (
+            ("station_information", "supplier"), ("dim_date", "first_dates"), ("dim_station", "dim_station"),
+            ("dim_rider_type", "dim_rider_type"), ("dim_bike_type", "dim_bike_type"))],
+        "SELECT 'mart_daily_rides', count(DISTINCT (trip_date, member_casual, rideable_type)) FROM first_trips",
+        "SELECT 'mart_hourly_rides', count(DISTINCT (trip_date, ride_hour, member_casual, rideable_type)) FROM first_trips",
+        """SELECT 'mart_station_performance', count(DISTINCT (trip_date, station)) FROM (
+            SELECT trip_date, start_station_id AS station FROM first_trips
+            UNION ALL SELECT trip_date, end_station_id FROM first_trips)""",
+        # 3 + 4 staging, 4 + 5 intermediate, 6 + 4 * 3 warehouse and 4 analytics checks.
+        "SELECT 'quality_audit', 38",
+    ),
+    "realtime_refresh": """SELECT 'fact_station_status_' || load AS table_name,
+            (SELECT count(*) FROM known_events WHERE (snapshot_timestamp < TIMESTAMP '2024-01-15') = (load = 1) AND load < 3) AS rows
+        FROM (VALUES (1), (2), (3)) AS loads(load)
+        UNION ALL SELECT 'mart_station_live_' || load, (SELECT count(DISTINCT station_id) FROM known_events
+            WHERE snapshot_timestamp < TIMESTAMP '2024-01-15' OR load > 1) FROM (VALUES (1), (2), (3)) AS loads(load)""",
     "stream_status_fact": """SELECT snapshot_date, count(*) AS snapshots,
         CAST(sum(available_capacity) AS BIGINT) AS available_capacity FROM fact_station_status GROUP BY ALL""",
 }
@@ -582,7 +610,19 @@ def _add_column_tests() -> None:
     parents = dict(zip(FACT_KEYS, ("dim_date", "dim_station", "dim_station", "dim_rider_type", "dim_bike_type"), strict=True))
     relationships = [("fact_trips", key, parent, key.removeprefix("start_").removeprefix("end_"))
                      for key, parent in parents.items()]
-    for child, key, parent, parent_key in [*relationships, ("fact_station_status", "station_key", "dim_station", "station_key")]:
+    SELECTS["check_unique"] = _all(*[
+        f"""SELECT '{table}' AS table_name, '{column}' AS column_name, count(*) AS repeated_keys,
+            CAST(coalesce(sum(n), 0) AS BIGINT) AS repeated_rows FROM (SELECT count(*) AS n FROM {table}
+            WHERE {column} IS NOT NULL GROUP BY {column}) WHERE n > 1"""
+        for table, columns in unique.items() for column in columns.split(", ")
+    ])
+    relationships.append(("fact_station_status", "station_key", "dim_station", "station_key"))
+    SELECTS["check_relationship"] = _all(*[
+        f"""SELECT '{child}' AS table_name, '{key}' AS column_name, count(DISTINCT {key}) AS orphan_keys,
+            count({key}) AS orphan_rows FROM {child} WHERE {key} NOT IN (SELECT {parent_key} FROM {parent})"""
+        for child, key, parent, parent_key in relationships
+    ])
+    for child, key, parent, parent_key in relationships:
         SELECTS[f"check_relationship_{child}_{key}"] = f"""SELECT count(DISTINCT {key}) AS orphan_keys,
             count(*) AS orphan_rows FROM {child}
             WHERE {key} IS NOT NULL AND {key} NOT IN (SELECT {parent_key} FROM {parent})"""

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velolake.operators import dashboard, marts, quality, stations, status, trips, warehouse
+from velolake.plans.batch import AUDIT_TABLE, BatchRun
+from velolake.plans.realtime import RealtimeRefresh
 from velolake.registry.sample import Sample
-from velolake.schemas import RAW_STATION_STATUS
-from velolake.session import scratch_dir
+from velolake.schemas import RAW_STATION_STATUS, RAW_TRIPS
+from velolake.session import scratch_dir, stored
 from velolake.sources import samples, station_feed, streams, tables, trip_files
 from velolake.streaming import events, publish
 from velolake.streaming import queries as streaming
@@ -446,6 +450,24 @@ def dq_dim_station(s: Sample) -> DataFrame:
     return quality.check_dimension(s.dim_station, "dim_station", "station_key")
 
 
+def _used_types(dimension: DataFrame, name: str, trip_column: str, s: Sample) -> DataFrame:
+    """The rows of a literal dimension that clean trips refer to."""
+    used = s.int_trips_clean.select(F.col(trip_column).alias(name)).distinct()
+    return dimension.join(used, name, "left_semi")
+
+
+@query("dq_dim_rider_type")
+def dq_dim_rider_type(s: Sample) -> DataFrame:
+    used = _used_types(s.dim_rider_type, "rider_type", "member_casual", s)
+    return quality.check_dimension(used, "dim_rider_type", "rider_type_key")
+
+
+@query("dq_dim_bike_type")
+def dq_dim_bike_type(s: Sample) -> DataFrame:
+    used = _used_types(s.dim_bike_type, "bike_type", "rideable_type", s)
+    return quality.check_dimension(used, "dim_bike_type", "bike_type_key")
+
+
 @query("dq_fact_trips")
 def dq_fact_trips(s: Sample) -> DataFrame:
     return quality.check_fact_trips(s.stored_fact_trips, s.stored_trips, s.dimensions)
@@ -560,6 +582,28 @@ def check_not_null(s: Sample) -> DataFrame:
     ])
 
 
+@query("check_unique")
+def check_unique(s: Sample) -> DataFrame:
+    """Repeated keys, and rows with one, per column that must be unique."""
+    return _union([
+        quality.repeated_keys(_tables(s)[table](), column)
+        .agg(_rows().alias("repeated_keys"), F.coalesce(F.sum("occurrences"), F.lit(0)).alias("repeated_rows"))
+        .select(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), "repeated_keys", "repeated_rows")
+        for table, columns in quality.UNIQUE_COLUMNS.items() for column in columns
+    ])
+
+
+@query("check_relationship")
+def check_relationship(s: Sample) -> DataFrame:
+    """Keys without a parent, and their rows, per relationship."""
+    return _union([
+        quality.orphan_rows(_tables(s)[child](), column, _tables(s)[parent](), parent_column)
+        .agg(_rows().alias("orphan_keys"), F.coalesce(F.sum("occurrences"), F.lit(0)).alias("orphan_rows"))
+        .select(F.lit(child).alias("table_name"), F.lit(column).alias("column_name"), "orphan_keys", "orphan_rows")
+        for child, column, parent, parent_column in quality.RELATIONSHIPS
+    ])
+
+
 @query("check_accepted_values")
 def check_accepted_values(s: Sample) -> DataFrame:
     """The clean tables, and the staged trips, which still have other values."""
@@ -759,3 +803,43 @@ def stream_status_fact(s: Sample) -> DataFrame:
     return s.spark.read.parquet(f"{root}/fact").groupBy("snapshot_date").agg(
         _rows().alias("snapshots"), F.sum("available_capacity").alias("available_capacity")
     )
+
+
+# Whole runs --------------------------------------------------------------------------------
+
+
+def _layers(s: Sample) -> tables.Layers:
+    """Databases of their own below the shared folder."""
+    name = f"velolake_{uuid.uuid4().hex[:12]}"
+    return tables.Layers(s.spark, scratch_dir(s.spark, "layers"), name).create()
+
+
+def _written(s: Sample, rows: list[tuple[str, int]]) -> DataFrame:
+    return s.spark.createDataFrame(rows, "table_name string, rows bigint")
+
+
+@query("daily_batch")
+def daily_batch(s: Sample) -> DataFrame:
+    """The daily batch with all its gates over trips without faults: rows per table, and audited checks."""
+    layers = _layers(s)
+    faultless = trips.dedupe_trips(s.stored_trips.select(RAW_TRIPS.names))
+    written = BatchRun(layers, run_id="batch").run(faultless, s.raw_station_information)
+    passed = layers.read("audit", AUDIT_TABLE).where("status = 'PASS'").count()
+    return _written(s, [*written.items(), (AUDIT_TABLE, passed)])
+
+
+@query("realtime_refresh")
+def realtime_refresh(s: Sample) -> DataFrame:
+    """Three refreshes over valid events: the first days, the rest by update, and nothing new."""
+    layers = _layers(s)
+    layers.refresh(s.dim_station, "mart", "dim_station")
+    valid = stored(events.valid_events(_validated(s)), "valid_events")
+    early = F.col("snapshot_timestamp") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp")
+    counts = []
+    for number, arrived in enumerate((valid.where(early), valid.where(~early), valid.where("false")), start=1):
+        layers.append(arrived, "raw", "station_status")
+        newest = layers.read("raw", "station_status").agg(F.max(F.unix_micros("snapshot_timestamp"))).first()[0]
+        now = status.EPOCH + timedelta(microseconds=newest) + timedelta(minutes=1)
+        written = RealtimeRefresh(layers, now, f"refresh-{number}").run(live="update")
+        counts += [(f"{table}_{number}", rows) for table, rows in written.items()]
+    return _written(s, counts)
