@@ -236,17 +236,28 @@ def test_stream_live_keeps_the_newest_snapshot(spark):
     assert sorted((row.station_id, row.num_bikes_available) for row in live.collect()) == [("a", 3), ("b", 9)]
 
 
-def test_stream_fact_drops_repeats_and_unknown_stations(spark):
+def counted(minute, bikes=1, **fields):
+    return event(snapshot_timestamp=f"2026-01-01T00:{minute:02d}:00Z", **{name: bikes for name in status.COUNT_FIELDS}, **fields)
+
+
+def test_stream_fact_takes_each_snapshot_once(spark):
+    """Repeats in a batch, in a later batch and of unknown stations are dropped; late snapshots are not."""
     root = scratch_dir(spark, "fact")
     stations = stored(spark.createDataFrame([("k", "a")], "station_key string, gbfs_station_id string"), "dim")
-    texts = [event(**{name: 1 for name in status.COUNT_FIELDS}), event(**{name: 1 for name in status.COUNT_FIELDS}),
-             event(station_id="q", **{name: 1 for name in status.COUNT_FIELDS})]
-    write_messages(spark, f"{root}/in", texts)
-    valid = queries.stream_valid_events(streams.message_files(spark, f"{root}/in"))
-    clean = status.clean_station_status(staging.stage_station_status(valid))
-    queries.stream_status_fact(clean, stations, f"{root}/fact", f"{root}/cp", period=None).awaitTermination()
-    rows = spark.read.parquet(f"{root}/fact").collect()
-    assert [(row.station_key, row.available_capacity) for row in rows] == [("k", 4)]
+    batches = ([counted(5), counted(5, bikes=2), counted(5, station_id="q")], [counted(5, station_id="q")], [counted(5), counted(1, bikes=3)])
+    for texts in batches:
+        write_messages(spark, f"{root}/in", texts)
+        valid = queries.stream_valid_events(streams.message_files(spark, f"{root}/in"))
+        clean = status.clean_station_status(staging.stage_station_status(valid))
+        queries.stream_status_fact(clean, stations, f"{root}/fact", f"{root}/cp", period=None).awaitTermination()
+    rows = spark.read.option("basePath", f"{root}/fact").parquet(f"{root}/fact").collect()
+    assert sorted((row.batch_id, row.snapshot_timestamp.minute, row.available_capacity) for row in rows) == [(0, 5, 4), (2, 1, 12)]
+
+
+def test_first_of_each_keeps_one_whole_row(spark):
+    df = spark.createDataFrame([("k", 1, 2, None), ("k", 1, 2, 7), ("k", 1, 3, 0), ("j", 1, None, 1)],
+                               "station_key string, snapshot_timestamp int, a int, b int")
+    assert sorted(tuple(r) for r in status.first_of_each(df).collect()) == [("j", 1, None, 1), ("k", 1, 2, None)]
 
 
 def test_dead_letter_windows(spark):

@@ -90,13 +90,30 @@ def increment(status: DataFrame, stations: DataFrame, loaded: DataFrame, mode: s
     if mode == "watermark":
         return fact_station_status(newer_than(status, high_watermark(loaded, newest_day)), stations)
     if mode == "by_key":
-        candidates = fact_station_status(status, stations)
-        span = candidates.agg(F.min("snapshot_date"), F.max("snapshot_date")).first()
-        present = loaded.where(F.col("snapshot_date").between(F.lit(span[0]), F.lit(span[1])))
-        return candidates.join(present.select(*STATUS_KEY, "snapshot_date"), [*STATUS_KEY, "snapshot_date"], "left_anti")
+        return not_loaded(fact_station_status(status, stations), loaded)
     raise ValueError(f"unknown mode: {mode}")
 
 
+def not_loaded(candidates: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Candidates whose (station, snapshot) is not in `loaded`, of which only their days are read.
+
+    The days are few: they are what both tables are split by.
+    """
+    days = [row.snapshot_date for row in candidates.select("snapshot_date").distinct().collect()]
+    key = [*STATUS_KEY, "snapshot_date"]
+    return candidates.join(loaded.where(F.col("snapshot_date").isin(days)).select(*key), key, "left_anti")
+
+
+def first_of_each(fact: DataFrame) -> DataFrame:
+    """One row per (station, snapshot), the smallest by the other columns.
+
+    Copies combine on the map side, so a snapshot with very many copies is no hot spot.
+    """
+    rest = [name for name in fact.columns if name not in STATUS_KEY]
+    kept = fact.groupBy(*STATUS_KEY).agg(F.min(F.struct(*rest)).alias("kept"))
+    return kept.select(*STATUS_KEY, "kept.*").select(*fact.columns)
+
+
 def late_rows(status: DataFrame, stations: DataFrame, loaded: DataFrame) -> DataFrame:
     """Fact rows that the watermark load ignores although they were never loaded."""
     candidates = fact_station_status(status, stations)

@@ -1,17 +1,19 @@
 """Streaming queries: validated split, status fact, live status, dead-letter windows.
 
 Every sink is written by micro-batch into a folder batch_id=N that is replaced as a
-whole, so a batch that is repeated after a failure leaves the same rows once.
+whole, so a batch that is repeated after a failure leaves the same rows once. A sink and
+its checkpoint belong together: with a new checkpoint, start a new sink.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from velolake.operators.status import STATUS_KEY, fact_station_status
+from velolake.operators.status import fact_station_status, first_of_each, not_loaded
 from velolake.schemas import COUNT_FIELDS, FLAG_FIELDS
 from velolake.streaming.events import dead_letters, valid_events, validate_events
 
@@ -51,18 +53,28 @@ def stream_valid_events(messages: DataFrame) -> DataFrame:
 
 
 def stream_status_fact(status: DataFrame, stations: DataFrame, path: str, checkpoint: str,
-                       late_by: str = "10 minutes", period: str | None = SNAPSHOT_PERIOD) -> StreamingQuery:
+                       period: str | None = SNAPSHOT_PERIOD) -> StreamingQuery:
     """Append valid snapshots of known stations to the fact, each (station, snapshot) once.
 
-    Repeats are dropped while they arrive within `late_by` of the newest snapshot.
+    A batch drops its own repeats, combining them on the map side, and what earlier batches
+    wrote for the same days, however late it comes. A repeated batch compares with the
+    batches before it only, so it writes the same rows again.
     """
-    fact = fact_station_status(status, stations)
-    once = fact.withWatermark("snapshot_timestamp", late_by).dropDuplicatesWithinWatermark(list(STATUS_KEY))
+    schema = T.StructType([*fact_station_status(status, stations).schema.fields, T.StructField("batch_id", T.LongType())])
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch.hint("rebalance", "snapshot_date"), path, batch_id, "snapshot_date")
+        new = first_of_each(fact_station_status(batch, stations)).persist()
+        try:
+            if batch_id > 0:
+                written = batch.sparkSession.read.schema(schema).parquet(path)
+                fresh = not_loaded(new, written.where(F.col("batch_id") < batch_id))
+            else:
+                fresh = new
+            write_batch(fresh.hint("rebalance", "snapshot_date"), path, batch_id, "snapshot_date")
+        finally:
+            new.unpersist()
 
-    return _start(once.writeStream.foreachBatch(append), checkpoint, period)
+    return _start(status.writeStream.foreachBatch(append), checkpoint, period)
 
 
 def stream_station_live(status: DataFrame, path: str, checkpoint: str,
