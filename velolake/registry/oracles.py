@@ -538,6 +538,9 @@ SELECTS: dict[str, str] = {
     "generate_invalid_events": """SELECT CASE event_id % 3 WHEN 0 THEN 'station_id tidak valid.'
             WHEN 1 THEN 'num_bikes_available tidak boleh negatif.' ELSE 'snapshot_timestamp tidak valid.' END AS error_reason,
             count(*) AS events FROM events GROUP BY ALL""",
+    "stream_publish": """SELECT station_id, count(*) AS messages, CAST(sum(ebikes) AS BIGINT) AS ebikes FROM (
+            SELECT station_id, NULL AS ebikes FROM raw_station_status WHERE event_id % 50 <> 0
+            UNION ALL SELECT station_id || 't', num_ebikes_available FROM raw_station_status) GROUP BY ALL""",
     "stream_source": """SELECT count(*) AS messages, count(*) FILTER (event_id % 50 = 0) AS blank_ids FROM events""",
     "stream_validate": "SELECT * FROM valid_events",
     "stream_split": """SELECT coalesce(error_reason, 'valid') AS outcome, count(*) AS events

@@ -152,9 +152,8 @@ def flatten_station_info(s: Sample) -> DataFrame:
     return _listed_methods(flat)
 
 
-@query("fan_out_snapshot")
-def fan_out_snapshot(s: Sample) -> DataFrame:
-    """Feed documents of two stations each; some stations have a blank id and are skipped."""
+def _feed_documents(s: Sample) -> DataFrame:
+    """Documents of two stations each; some first stations have a blank id."""
     blank = F.when(F.col("event_id") % 50 == 0, "").otherwise(F.col("station_id"))
     one = F.to_json(F.struct(blank.alias("station_id"), "num_bikes_available", "num_docks_available"))
     other = F.to_json(F.struct(F.concat("station_id", F.lit("t")).alias("station_id"), "num_ebikes_available"))
@@ -162,13 +161,31 @@ def fan_out_snapshot(s: Sample) -> DataFrame:
         F.lit('{"last_updated":'), F.unix_timestamp("snapshot_timestamp").cast("string"),
         F.lit(',"data":{"stations":['), one, F.lit(","), other, F.lit("]}}"),
     )
-    payloads = s.raw_station_status.select(document.alias("payload"))
-    messages = publish.fan_out_snapshot(payloads, F.lit(samples.INGESTED_AT).cast("timestamp"))
+    return s.raw_station_status.select(document.alias("payload"))
+
+
+@query("fan_out_snapshot")
+def fan_out_snapshot(s: Sample) -> DataFrame:
+    messages = publish.fan_out_snapshot(_feed_documents(s), F.lit(samples.INGESTED_AT).cast("timestamp"))
     fields = ("station_id", "num_bikes_available", "num_ebikes_available", "num_docks_available",
               "source_last_updated", "snapshot_timestamp")
     return messages.select("key", *[F.get_json_object("value", f"$.{name}").alias(name) for name in fields])
 
 
+@query("stream_publish")
+def stream_publish(s: Sample) -> DataFrame:
+    """Feed documents arriving as a stream, published, and the messages per station."""
+    root = scratch_dir(s.spark, "publish")
+    _feed_documents(s).write.text(f"{root}/documents")
+    documents = streams.message_files(s.spark, f"{root}/documents").toDF("payload")
+    streaming.stream_publish(documents, f"{root}/messages", f"{root}/checkpoint", period=None).awaitTermination()
+    messages = s.spark.read.text(f"{root}/messages")
+    field = {name: F.get_json_object("value", f"$.{name}") for name in ("station_id", "num_ebikes_available")}
+    return messages.groupBy(field["station_id"].alias("station_id")).agg(
+        _rows().alias("messages"), F.sum(field["num_ebikes_available"].cast("bigint")).alias("ebikes")
+    )
+
+
 @query("write_day_partitions")
 def write_day_partitions(s: Sample) -> DataFrame:
     """The status fact written by day, read back per folder."""

@@ -16,6 +16,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from velolake.operators.status import fact_station_status, first_of_each, not_loaded
 from velolake.schemas import COUNT_FIELDS, FLAG_FIELDS
 from velolake.streaming.events import dead_letters, valid_events, validate_events
+from velolake.streaming.publish import fan_out_snapshot
 
 SNAPSHOT_PERIOD = "60 seconds"
 
@@ -47,6 +48,23 @@ def stream_split(messages: DataFrame, valid_path: str, dead_letter_path: str, ch
     return _start(messages.writeStream.foreachBatch(split), checkpoint, period)
 
 
+def stream_publish(payloads: DataFrame, path: str, checkpoint: str, period: str | None = SNAPSHOT_PERIOD) -> StreamingQuery:
+    """Publish each arriving feed document as one message line per station with an id.
+
+    The observed metrics `publishing` count published and skipped stations per batch.
+    """
+    messages = fan_out_snapshot(payloads)
+    has_value = F.col("value").isNotNull()
+    counted = messages.observe(
+        "publishing", F.count_if(has_value).alias("published"), F.count_if(~has_value).alias("skipped")
+    )
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        batch.select("value").write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
+
+    return _start(counted.where(has_value).writeStream.foreachBatch(publish), checkpoint, period)
+
+
 def stream_valid_events(messages: DataFrame) -> DataFrame:
     """Valid events of a message stream, as a stream."""
     return valid_events(validate_events(messages))
