@@ -117,6 +117,15 @@ def test_live_mart_reads_only_the_newest_days(spark, stations):
     assert newest.count() == 2
 
 
+@pytest.mark.parametrize("broadcast_limit", [100_000, 1])
+def test_live_mart_has_one_row_for_a_repeated_station(spark, stations, monkeypatch, broadcast_limit):
+    monkeypatch.setattr(marts, "fits_broadcast", lambda df: df.count() <= broadcast_limit)
+    twice = stored(stations.unionByName(stations.withColumn("station_name", F.lit("Other"))), "dim_station")
+    fact = status.fact_station_status(clean(spark, at(0), {**at(1), "station_id": "g2"}), stations)
+    rows = marts.mart_station_live(fact, twice).collect()
+    assert sorted((row.station_key, row.station_name) for row in rows) == [("k1", "One"), ("k2", "Other")]
+
+
 def test_updated_live_mart_equals_a_rebuild(spark, stations):
     first = status.fact_station_status(clean(spark, at(0), {**at(1), "station_id": "g2"}), stations)
     new = status.fact_station_status(clean(spark, at(7), at(8)), stations)

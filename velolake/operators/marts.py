@@ -169,9 +169,14 @@ def newest_snapshots(fact: DataFrame, stations: DataFrame) -> DataFrame:
 def mart_station_live(fact: DataFrame, stations: DataFrame) -> DataFrame:
     """Latest status per station. `stations` should be a stored table; its size is checked."""
     described = stations.select(*LIVE_COLUMNS[:6])
-    if fits_broadcast(described.select("station_key")):
-        fact = newest_snapshots(fact, described)
-    return latest_status(fact).join(described, "station_key").select(*LIVE_COLUMNS)
+    small = fits_broadcast(described.select("station_key"))
+    latest = newest_snapshots(fact, described) if small else latest_status(fact)
+    return _described_once(latest, described)
+
+
+def _described_once(latest: DataFrame, described: DataFrame) -> DataFrame:
+    """One row per station with its attributes, even where a station key repeats."""
+    return latest_status(latest.join(described, "station_key")).select(*LIVE_COLUMNS)
 
 
 def refreshed_station_live(live: DataFrame, new_facts: DataFrame, stations: DataFrame) -> DataFrame:
@@ -182,4 +187,4 @@ def refreshed_station_live(live: DataFrame, new_facts: DataFrame, stations: Data
     columns = [name for name in LIVE_COLUMNS if name not in LIVE_COLUMNS[1:6]]
     candidates = live.select(*columns).unionByName(new_facts.select(*columns))
     described = stations.select(*LIVE_COLUMNS[:6])
-    return latest_status(candidates).join(described, "station_key").select(*LIVE_COLUMNS)
+    return _described_once(latest_status(candidates), described)

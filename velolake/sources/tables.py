@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,11 +18,16 @@ DAY_COLUMNS = {"fact_trips": "date_key", "mart_daily_rides": "ride_date", "fact_
 
 @dataclass(frozen=True)
 class Layers:
-    """The databases `<prefix>_<layer>`, stored below `root`."""
+    """The databases `<prefix>_<layer>`, stored below `root`.
+
+    `day_columns` names the tables to split by day. A table with few rows per day is
+    better left whole, because each day is a folder with a file of its own.
+    """
 
     spark: SparkSession
     root: str
     prefix: str = "velolake"
+    day_columns: Mapping[str, str] = field(default_factory=lambda: dict(DAY_COLUMNS))
 
     def create(self) -> Layers:
         for layer in LAYERS:
@@ -46,6 +52,8 @@ class Layers:
 
     def newest_day(self, layer: str, table: str) -> date | None:
         """The newest folder of a table that is split by day, from the catalog alone."""
+        if table not in self.day_columns:
+            return None
         days = self.spark.sql(f"SHOW PARTITIONS {self.name(layer, table)}")
         newest = days.agg(F.max(F.try_to_date(F.regexp_extract("partition", r"=(\d{4}-\d{2}-\d{2})$", 1))))
         return newest.first()[0]
@@ -62,7 +70,7 @@ class Layers:
         return self._write(df, layer, table, "append")
 
     def _write(self, df: DataFrame, layer: str, table: str, mode: str) -> int:
-        day = DAY_COLUMNS.get(table)
+        day = self.day_columns.get(table)
         # Few files per day; a day with much of the data is split over several tasks.
         balanced = df.hint("rebalance", day) if day else df
         # Observed in the writing tasks, so that a repeated earlier stage is not counted.
