@@ -93,7 +93,7 @@ def main() -> None:
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
-        "sf": os.path.basename(FOLDER.rstrip("/")).removeprefix("sf"),
+        "sf": float(os.path.basename(FOLDER.rstrip("/")).removeprefix("sf")),
         "stream_split_events_per_sec": round(events / times["stream_split"]),
     }))
 

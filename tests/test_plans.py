@@ -87,6 +87,16 @@ def test_realtime_refresh_adds_what_is_new(spark, built):
     assert refresh(built, 7, mode="by_key") == {"fact_station_status": 1, "mart_station_live": 2}
 
 
+def test_window_reads_recent_snapshots_only(spark, built):
+    """A faulty old snapshot stops a refresh over everything, not one over the last hour."""
+    built.append(raw_status(spark, {**at(-120), "num_bikes_available": -1}, at(0)), "raw", "station_status")
+    now = NOON + timedelta(minutes=1)
+    with pytest.raises(ValueError, match="availability"):
+        RealtimeRefresh(built, now).run()
+    recent = RealtimeRefresh(built, now, window=timedelta(hours=1))
+    assert recent.run() == {"fact_station_status": 1, "mart_station_live": 1}
+
+
 def test_stale_feed_stops_the_refresh(spark, built):
     built.append(raw_status(spark, at(0)), "raw", "station_status")
     with pytest.raises(ValueError, match="stale"):

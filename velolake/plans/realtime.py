@@ -7,7 +7,7 @@ that are newer than the status fact.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -21,26 +21,35 @@ from velolake.sources.tables import Layers
 
 @dataclass
 class RealtimeRefresh:
-    """One refresh at the instant `now` over raw.station_status and mart.dim_station."""
+    """One refresh at the instant `now` over raw.station_status and mart.dim_station.
+
+    Checks and loads read the whole tables, or, with a `window`, only the snapshots of the
+    trailing time: row groups and days before it are skipped. The window must cover the
+    time since the last refresh.
+    """
 
     layers: Layers
     now: datetime | None = None
     run_id: str | None = None
     dag_id: str = "realtime_refresh"
+    window: timedelta | None = None
 
     def __post_init__(self) -> None:
         use_library_settings(self.layers.spark)
         self.now = self.now or datetime.now(timezone.utc)
 
+    def raw(self) -> DataFrame:
+        return self._recent(self.layers.read("raw", "station_status"))
+
     def staged(self) -> DataFrame:
-        return staging.stage_station_status(self.layers.read("raw", "station_status"))
+        return staging.stage_station_status(self.raw())
 
     def clean(self) -> DataFrame:
         return status.clean_station_status(self.staged())
 
     def check_raw(self) -> int:
         """Raises when the feed is empty, faulty or stale."""
-        return quality.require_raw_status(self.layers.read("raw", "station_status"), self.now)
+        return quality.require_raw_status(self.raw(), self.now)
 
     def check_dead_letters(self) -> str:
         """PASS or WARN, kept as an audit row; no table means no dead letters."""
@@ -92,11 +101,15 @@ class RealtimeRefresh:
         self._gate("STREAMING_STAGING", quality.check_staged_status(self.staged()))
         self._gate("STREAMING_INTERMEDIATE", quality.check_clean_status(self.clean()))
         rows = {"fact_station_status": self.load_fact(mode)}
-        self._gate("STREAMING_WAREHOUSE", quality.check_status_fact(self.layers.read("mart", "fact_station_status")))
+        fact = self._recent(self.layers.read("mart", "fact_station_status"))
+        self._gate("STREAMING_WAREHOUSE", quality.check_status_fact(fact))
         rows["mart_station_live"] = self.update_live(before) if update else self.build_live()
         self._gate("STREAMING_ANALYTICS", quality.check_station_live(self.layers.read("mart", "mart_station_live")))
         return rows
 
+    def _recent(self, status_rows: DataFrame) -> DataFrame:
+        return status.newer_than(status_rows, self.now - self.window) if self.window else status_rows
+
     def _loaded(self) -> tuple[DataFrame, date | None]:
         table = ("mart", "fact_station_status")
         return self.layers.read(*table), self.layers.newest_day(*table)
