@@ -44,6 +44,11 @@ def test_batch_builds_every_table_and_can_be_rerun(spark, layers):
     assert layers.newest_day("mart", "mart_daily_rides") is not None
 
 
+def test_batch_needs_stations(spark, layers):
+    with pytest.raises(ValueError, match="empty"):
+        BatchRun(layers, "r").run(raw(spark, *TRIPS), information(spark).where("false"))
+
+
 def test_batch_stops_at_the_failed_layer(spark, layers):
     with pytest.raises(quality.QualityGateError, match="STAGING.*ride_id_unique"):
         BatchRun(layers, "r").run(raw(spark, *TRIPS, {"ride_id": "r1"}), information(spark))

@@ -50,6 +50,14 @@ def test_replace_month_removes_days_and_keeps_other_months(spark, tmp_path):
     assert folders(root) == ["year=2026/month=02/day=01"]
 
 
+def test_extract_months(spark, tmp_path):
+    df = raw(spark, {}, {"started_at": "2026-01-06 00:00:00"}, {"started_at": "2026-02-01 00:00:00"})
+    trip_files.write_trips_csv(df, str(tmp_path / "source"))
+    sources = {"202601": str(tmp_path / "source"), "202602": str(tmp_path / "source")}
+    assert trip_files.extract_months(spark, sources, str(tmp_path / "t")) == {"202601": (2, 2), "202602": (1, 1)}
+    assert len(folders(tmp_path / "t")) == 3
+
+
 def test_filter_period(spark):
     df = raw(spark, {"started_at": "2026-12-31 23:59:59"}, {"started_at": "2027-01-01 00:00:00"}, {"started_at": "x"}, {"started_at": None})
     assert trip_files.filter_period(df, 2026, 12).count() == 1

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 
 from velolake.operators import marts, quality, staging, stations, trips, warehouse
 from velolake.session import stored, use_library_settings
+from velolake.sources.station_feed import require_stations
 from velolake.sources.tables import Layers
 
 AUDIT_TABLE = "quality_audit"
@@ -34,7 +35,7 @@ class BatchRun:
     def load_raw(self, raw_trips: DataFrame, station_information: DataFrame) -> None:
         use_library_settings(self.layers.spark)
         self._refresh(raw_trips, "raw", "raw_trips")
-        self._refresh(station_information, "raw", "station_information")
+        self._refresh(require_stations(station_information), "raw", "station_information")
 
     def staged_trips(self) -> DataFrame:
         return staging.stage_trips(self.layers.read("raw", "raw_trips"))

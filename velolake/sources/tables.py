@@ -61,7 +61,8 @@ class Layers:
     def refresh(self, df: DataFrame, layer: str, table: str) -> int:
         """Replace the table with `df`; returns the number of rows written.
 
-        Spark refuses to overwrite a table that `df` itself reads.
+        Spark refuses to overwrite a table that `df` itself reads. The old table is gone
+        while the new one is written; after a failure, run the refresh again.
         """
         return self._write(df, layer, table, "overwrite")
 

@@ -75,6 +75,14 @@ def replace_month(trips: DataFrame, root: str, year: int, month: int) -> tuple[i
     return written.get["rows"], written.get["days"] or 0
 
 
+def extract_months(spark: SparkSession, sources: dict[str, str], root: str) -> dict[str, tuple[int, int]]:
+    """Replace every month of `sources` (YYYYMM -> path of its CSV files); (rows, days) per month."""
+    return {
+        month: replace_month(scan_trips_csv(spark, path), root, int(month[:4]), int(month[4:]))
+        for month, path in sources.items()
+    }
+
+
 def _by_day(trips: DataFrame, *levels: str) -> DataFrame:
     parts = {level: F.date_format("started_at", DAY_FORMATS[level]) for level in levels}
     return trips.withColumns(parts).hint("rebalance", *levels)

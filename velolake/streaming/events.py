@@ -114,7 +114,7 @@ def _payload_and_text(messages: DataFrame) -> tuple[Column, Column]:
     if isinstance(messages.schema["value"].dataType, T.BinaryType):
         text = F.when(F.is_valid_utf8(value.cast("string")), value.cast("string"))
         return F.when(F.length(text) > 0, text).otherwise(bytes_literal(value)), text
-    return F.when(F.length(value) > 0, value).otherwise("b''"), value
+    return F.when(value != "", value).otherwise("b''"), value
 
 
 def bytes_literal(value: Column) -> Column:
