@@ -1,10 +1,12 @@
 """Counts of the sample tables, and plans for hot keys and for stations that are no longer few."""
 
+import shutil
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from velolake import session
 from velolake.operators import stations, trips, warehouse
 from velolake.registry.sample import Sample
 from velolake.session import stored
@@ -36,6 +38,27 @@ def test_sample_counts(spark, folder, raw, clean, rejected, lost, feed, status):
     assert (s.int_station_information.count(), s.int_station_status.count()) == (feed, status)
 
 
+def test_stored_tables_are_shared_until_the_files_change(spark, tmp_path, monkeypatch):
+    for name in ("lineitem", "orders", "supplier"):
+        shutil.copy(GIVEN / "sf0.001" / f"{name}.parquet", tmp_path / f"{name}.parquet")
+
+    def files(**options):
+        return Sample(spark, str(tmp_path), **options).stored_trips.inputFiles()
+
+    first = files()
+    assert files() == first
+    assert files(share=False) != first
+    for key, (path, schema) in list(session._STORED.items()):
+        if str(tmp_path) in key:
+            monkeypatch.setitem(session._STORED, key, (f"{path}-gone", schema))
+    rebuilt = files()
+    assert rebuilt != first and files() == rebuilt
+    few = spark.read.parquet(str(tmp_path / "lineitem.parquet")).limit(100).toPandas()
+    few.drop(columns="l_shipdate").to_parquet(tmp_path / "lineitem.parquet")
+    assert files() != rebuilt
+    assert Sample(spark, str(tmp_path)).stored_trips.count() <= 100
+
+
 @pytest.fixture
 def no_broadcast(spark):
     """Every table counts as too large to broadcast, and skew shows in small data."""

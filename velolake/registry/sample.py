@@ -2,22 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velolake.operators import marts, staging, stations, status, trips, warehouse
-from velolake.session import stored, use_library_settings
+from velolake.session import fingerprint, stored, stored_once, use_library_settings
 from velolake.sources import samples
 
 
 class Sample:
-    """Layers over `folder`; tables with several readers are stored once in the shared folder."""
+    """Layers over `folder`; tables with several readers are stored once in the shared folder.
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
+    Queries of one application share the stored tables as long as the given files are the
+    same ones; `share=False` stores them anew.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, share: bool = True) -> None:
         self.spark = use_library_settings(spark)
         self.folder = folder
+        self.share = share
+
+    @cached_property
+    def version(self) -> tuple:
+        """Identifies the given files that the stored tables are built from."""
+        names = ("lineitem", "orders", "supplier")
+        return (self.folder, *fingerprint(self.spark, *[f"{self.folder}/{name}.parquet" for name in names]))
+
+    def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return stored_once(self.spark, self.version, name, build) if self.share else stored(build(), name)
 
     @cached_property
     def raw_trips(self) -> DataFrame:
@@ -37,7 +52,7 @@ class Sample:
     @cached_property
     def stored_trips(self) -> DataFrame:
         """Clean trips, read by both dimensions and by the fact."""
-        return stored(self.int_trips_clean, "int_trips_clean")
+        return self._stored("int_trips_clean", lambda: self.int_trips_clean)
 
     @cached_property
     def raw_station_information(self) -> DataFrame:
@@ -53,11 +68,11 @@ class Sample:
 
     @cached_property
     def dim_station(self) -> DataFrame:
-        return stored(stations.dim_station(self.int_station_information, self.stored_trips), "dim_station")
+        return self._stored("dim_station", lambda: stations.dim_station(self.int_station_information, self.stored_trips))
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return stored(warehouse.dim_date(self.stored_trips), "dim_date")
+        return self._stored("dim_date", lambda: warehouse.dim_date(self.stored_trips))
 
     @cached_property
     def dim_rider_type(self) -> DataFrame:
@@ -78,7 +93,7 @@ class Sample:
     @cached_property
     def stored_fact_trips(self) -> DataFrame:
         """The trip fact, for queries that read it more than once."""
-        return stored(self.fact_trips, "fact_trips")
+        return self._stored("fact_trips", lambda: self.fact_trips)
 
     def mart_daily_rides(self, fact: DataFrame | None = None) -> DataFrame:
         fact = self.fact_trips if fact is None else fact

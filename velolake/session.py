@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Broadcasting a dimension is allowed up to this many (narrow) rows; see bounded_broadcast.
 BROADCAST_ROW_LIMIT = 100_000
@@ -75,12 +79,41 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     This cuts the lineage, survives lost executors, and gives the optimizer the
     table's real size, so small dimensions are broadcast and large ones are not.
     """
-    spark = df.sparkSession
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# What stored_once wrote: key -> path and schema.
+_STORED: dict[tuple, tuple[str, StructType]] = {}
+
+
+def stored_once(spark: SparkSession, key: tuple, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The table stored under `key` earlier in this application, or `build()` stored now.
+
+    A table that is no longer in the shared folder is built again.
+    """
+    key = (spark.sparkContext.applicationId, name, *key)
+    if key in _STORED:
+        path, schema = _STORED[key]
+        try:
+            return spark.read.schema(schema).parquet(path)
+        except AnalysisException:
+            del _STORED[key]
+    df = build()
     path = scratch_dir(spark, name)
     df.write.parquet(path)
+    _STORED[key] = (path, df.schema)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fingerprint(spark: SparkSession, *paths: str) -> tuple:
+    """Number, total size and newest change of the files at `paths`, from their listing alone."""
+    files = spark.read.format("binaryFile").load(list(paths))
+    newest = F.max(F.unix_micros("modificationTime"))
+    return tuple(files.agg(F.count(F.lit(1)), F.sum("length"), newest).first())
+
+
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
     """Whether a stored table is small enough to broadcast; its rows are counted from file footers."""
     return df.count() <= limit
