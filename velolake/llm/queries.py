@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from velolake.llm import mixing
+from velolake.llm import exact, mixing, packing, topk, warc
 from velolake.llm.common import table
 
 
@@ -14,8 +15,32 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_totals(table(spark, sf_dir, "documents"))
 
 
+def op2_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op7_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_digest(spark, table(spark, sf_dir, "pages"))
+
+
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.dedup(table(spark, sf_dir, "documents"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_threshold_topk": op2_threshold_topk,
+    "op7_zip_warc": op7_zip_warc,
+    "op8_exact_dedup": op8_exact_dedup,
+    "op10_packing": op10_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_threshold_topk": topk.ORACLE,
+    "op7_zip_warc": warc.ORACLE,
+    "op8_exact_dedup": exact.ORACLE,
+}
