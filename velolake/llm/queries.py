@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velolake.llm import exact, mixing, packing, topk, warc
+from velolake.llm import exact, langid, mixing, packing, quality, topk, warc
 from velolake.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op2_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_digest(spark, table(spark, sf_dir, "pages"))
 
@@ -27,6 +31,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -34,8 +42,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_threshold_topk": op2_threshold_topk,
+    "op6_quality": op6_quality,
     "op7_zip_warc": op7_zip_warc,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_language": op9_language,
     "op10_packing": op10_packing,
 }
 
