@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velolake.llm import exact, jaccard, langid, mixing, packing, quality, topk, warc
+from velolake.llm import exact, jaccard, langid, lines, mixing, packing, quality, topk, warc
 from velolake.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_components(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_threshold_topk": op2_threshold_topk,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_line_dedup": op5_line_dedup,
     "op6_quality": op6_quality,
     "op7_zip_warc": op7_zip_warc,
     "op8_exact_dedup": op8_exact_dedup,
