@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velolake.llm import exact, jaccard, langid, lines, mixing, packing, quality, topk, warc
+from velolake.llm import exact, jaccard, langid, lines, mixing, packing, quality, suffixes, topk, warc
 from velolake.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op2_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup_strings(table(spark, sf_dir, "documents"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_components(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_threshold_topk": op2_threshold_topk,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_line_dedup": op5_line_dedup,
     "op6_quality": op6_quality,
