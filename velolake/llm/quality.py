@@ -217,3 +217,16 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     features = with_features(docs)
     return score(features, train(features, labels))
+
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of `docs` that the classifier accepts; all columns stay."""
+    model = train(with_features(docs.join(labels.select(F.col("doc_id").alias("_labelled")).distinct(), F.col("doc_id") == F.col("_labelled"), "left_semi")), labels)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").cast(pa.large_string()).cast(pa.large_binary())
+            x = np.array([text_features(t.as_py() or b"") for t in texts]).reshape(batch.num_rows, len(FEATURES))
+            yield batch.filter(pa.array(model.scores(x) >= ACCEPTED))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velolake.llm.common import BYTE_CODES, mixed, powers, text_chunks
+from velolake.llm.common import BYTE_CODES, mixed, powers, sent_if_small, text_chunks
 from velolake.session import stored
 
 LENGTH = 400
@@ -347,10 +347,9 @@ def removed(docs: DataFrame) -> DataFrame:
     place = F.when(F.col("n") > HOT, F.bitwise_not("place")).otherwise(F.col("place"))
     chosen = every.join(counts.hint("shuffle_hash"), "key").select("doc", "code", place.alias("place"))
     found = stored(chosen.groupBy("doc", "code").agg(F.collect_set("place").alias("places")), "anchor-lists")
-    listed, places = found.agg(F.count(F.lit(1)), F.sum(F.size("places"))).first()
-    buckets = max(16, -(-(places or 0) * (LENGTH + WINDOW // 2) // BUCKET_BYTES))
-    if listed + (places or 0) <= LISTED:
-        found = F.broadcast(found)
+    places = found.agg(F.sum(F.size("places"))).first()[0] or 0
+    buckets = max(16, -(-places * (LENGTH + WINDOW // 2) // BUCKET_BYTES))
+    found = sent_if_small(found, F.size("places") + 1, LISTED)
     return sorted_runs(texts.join(found, ["doc", "code"]), buckets).groupBy("bucket").applyInPandas(merged_spans, _SPANS)
 
 
@@ -374,9 +373,7 @@ def dedup_strings(docs: DataFrame) -> DataFrame:
     ignored; an empty table gives no rows.
     """
     spans = stored(removed(docs).groupBy("doc", "code").agg(F.collect_set(F.struct("first", "last")).alias("spans")), "spans")
-    listed, size = spans.agg(F.count(F.lit(1)), F.sum(F.size("spans"))).first()
-    if listed + (size or 0) <= LISTED:
-        spans = F.broadcast(spans)
+    spans = sent_if_small(spans, F.size("spans") + 1, LISTED)
     texts = _texts(docs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
