@@ -161,6 +161,24 @@ def test_fan_out_adds_times_and_skips_stations_without_id(spark):
     assert spark.read.text(path).count() == 3
 
 
+def test_a_bad_document_does_not_end_the_stream(spark, tmp_path):
+    for name, text in (("a", json.dumps(PAYLOAD)), ("b", "no json"), ("c", '{"data": {}}'), ("d", json.dumps(PAYLOAD))):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / name).write_text(text)
+    documents = spark.readStream.format("text").option("wholetext", True).option("maxFilesPerTrigger", 1).load(str(tmp_path / "in")).toDF("payload")
+    queries.stream_publish(documents, str(tmp_path / "out"), str(tmp_path / "checkpoint"), period=None).awaitTermination()
+    whole = publish.fan_out_snapshot(payloads(spark, PAYLOAD)).where("value IS NOT NULL").count()
+    assert spark.read.text(str(tmp_path / "out")).count() == 2 * whole > 0
+    rejected = spark.read.parquet(str(tmp_path / "out-rejected")).select("bad_document").collect()
+    assert sorted(r.bad_document for r in rejected) == ["no json", '{"data": {}}']
+
+
+def test_topic_columns(spark):
+    messages = streams.to_topic(spark.createDataFrame([("k", "v"), (None, None), (None, "w")], "key string, value string"))
+    assert dict(messages.dtypes) == {"key": "binary", "value": "binary"}
+    assert sorted(bytes(r.value) for r in messages.collect()) == [b"v", b"w"]
+
+
 def test_fan_out_without_last_updated(spark):
     row = publish.fan_out_snapshot(payloads(spark, {"data": {"stations": [{"station_id": "x"}]}})).first()
     assert json.loads(row.value)["source_last_updated"] is None

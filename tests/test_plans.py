@@ -102,6 +102,27 @@ def test_window_reads_recent_snapshots_only(spark, built):
     assert recent.run() == {"fact_station_status": 1, "mart_station_live": 1}
 
 
+def test_window_does_not_keep_snapshots_from_being_loaded(spark, built):
+    """What arrived since the last refresh is loaded, also where the window is shorter."""
+    hour = timedelta(minutes=10)
+    built.append(raw_status(spark, at(-200), at(0)), "raw", "station_status")
+    assert RealtimeRefresh(built, NOON + timedelta(minutes=1), window=hour).run()["fact_station_status"] == 2
+    built.append(raw_status(spark, at(5), at(8), at(30)), "raw", "station_status")
+    assert RealtimeRefresh(built, NOON + timedelta(minutes=31), window=hour).run(live="update")["fact_station_status"] == 3
+    assert built.read("mart", "fact_station_status").count() == 5
+
+
+def test_update_makes_up_for_a_refresh_that_failed(spark, built):
+    """The fact was loaded, then the run stopped: the next update still brings these snapshots."""
+    built.append(raw_status(spark, at(0)), "raw", "station_status")
+    refresh(built, 1)
+    built.append(raw_status(spark, {**at(5), "num_bikes_available": 7}, {**at(5), "station_id": "g2"}), "raw", "station_status")
+    assert RealtimeRefresh(built, NOON + timedelta(minutes=6)).load_fact() == 2
+    assert refresh(built, 7, live="update") == {"fact_station_status": 0, "mart_station_live": 2}
+    live = {row.station_code: row.num_bikes_available for row in built.read("mart", "mart_station_live").collect()}
+    assert live["JC1"] == 7 and set(live) == {"JC1", "JC2"}
+
+
 def test_stale_feed_stops_the_refresh(spark, built):
     built.append(raw_status(spark, at(0)), "raw", "station_status")
     with pytest.raises(ValueError, match="stale"):

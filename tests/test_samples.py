@@ -40,7 +40,7 @@ def test_sample_counts(spark, folder, raw, clean, rejected, lost, feed, status):
 
 def test_stored_tables_are_shared_until_the_files_change(spark, tmp_path, monkeypatch):
     for name in ("lineitem", "orders", "supplier"):
-        shutil.copy(GIVEN / "sf0.001" / f"{name}.parquet", tmp_path / f"{name}.parquet")
+        shutil.copyfile(GIVEN / "sf0.001" / f"{name}.parquet", tmp_path / f"{name}.parquet")
 
     def files(**options):
         return Sample(spark, str(tmp_path), **options).stored_trips.inputFiles()

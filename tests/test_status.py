@@ -86,10 +86,7 @@ def test_watermark_is_pushed_into_the_scan(spark, stations):
     assert "GreaterThan(snapshot_timestamp" in plan
 
 
-@pytest.mark.parametrize("broadcast_limit", [100_000, 1])
-def test_live_mart_has_the_newest_row_per_station(spark, stations, monkeypatch, broadcast_limit):
-    """The same rows with and without the broadcast form."""
-    monkeypatch.setattr(marts, "fits_broadcast", lambda df: df.count() <= broadcast_limit)
+def test_live_mart_has_the_newest_row_per_station(spark, stations):
     path = scratch_dir(spark, "fact")
     fact = save(status.fact_station_status(clean(
         spark, at(0), {**at(9), "num_bikes_available": 0}, at(5), {**at(1), "station_id": "g2"},
@@ -108,24 +105,34 @@ def test_live_mart_has_the_newest_row_per_station(spark, stations, monkeypatch,
     assert (totals.stations, totals.bikes, totals.docks) == (2, 7, 8)
 
 
-def test_live_mart_reads_only_the_newest_days(spark, stations):
-    path = scratch_dir(spark, "fact")
-    fact = save(status.fact_station_status(clean(spark, at(0), at(3000), {**at(9000), "station_id": "g2"}), stations), path)
-    newest = marts.newest_snapshots(fact, stations)
-    plan = newest._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan
-    assert newest.count() == 2
+def test_live_mart_is_one_scan_and_limits_rows_before_the_shuffle(spark, stations):
+    fact = save(status.fact_station_status(clean(spark, at(0), at(3000), {**at(9000), "station_id": "g2"}), stations), scratch_dir(spark, "fact"))
+    plan = marts.latest_status(fact)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "WindowGroupLimit" in plan.partition("Exchange")[2]
+
+
+def test_live_mart_does_not_depend_on_the_day_column(spark, stations):
+    fact = status.fact_station_status(clean(spark, at(0)), stations)
+    shifted = fact.withColumn("snapshot_date", F.date_add("snapshot_date", 1))
+    assert marts.mart_station_live(shifted, stations).collect() == marts.mart_station_live(fact, stations).collect()
 
 
-@pytest.mark.parametrize("broadcast_limit", [100_000, 1])
-def test_live_mart_has_one_row_for_a_repeated_station(spark, stations, monkeypatch, broadcast_limit):
-    monkeypatch.setattr(marts, "fits_broadcast", lambda df: df.count() <= broadcast_limit)
+def test_live_mart_has_one_row_for_a_repeated_station(spark, stations):
     twice = stored(stations.unionByName(stations.withColumn("station_name", F.lit("Other"))), "dim_station")
     fact = status.fact_station_status(clean(spark, at(0), {**at(1), "station_id": "g2"}), stations)
     rows = marts.mart_station_live(fact, twice).collect()
     assert sorted((row.station_key, row.station_name) for row in rows) == [("k1", "One"), ("k2", "Other")]
 
 
+def test_updated_live_mart_ranks_copies_as_a_rebuild_does(spark, stations):
+    first = status.fact_station_status(clean(spark, at(0)), stations)
+    copies = [{**at(7), "num_bikes_available": 3, "_ingested_at": NOON}, {**at(7), "num_bikes_available": 8, "_ingested_at": NOON + timedelta(minutes=9)}]
+    new = status.fact_station_status(clean(spark, *copies), stations)
+    updated = marts.refreshed_station_live(marts.mart_station_live(first, stations), new, stations).collect()
+    assert updated == marts.mart_station_live(first.unionByName(new), stations).collect()
+    assert updated[0].num_bikes_available == 8
+
+
 def test_updated_live_mart_equals_a_rebuild(spark, stations):
     first = status.fact_station_status(clean(spark, at(0), {**at(1), "station_id": "g2"}), stations)
     new = status.fact_station_status(clean(spark, at(7), at(8)), stations)

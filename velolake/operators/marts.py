@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from velolake.functions import mean_from_hundredths, to_hundredths
-from velolake.session import fits_broadcast
 
 
 def ride_totals(fact: DataFrame, *keys: str) -> DataFrame:
@@ -150,28 +149,9 @@ def latest_status(fact: DataFrame) -> DataFrame:
     return fact.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
-def newest_snapshots(fact: DataFrame, stations: DataFrame) -> DataFrame:
-    """Status rows at the newest snapshot of their station, for broadcastable `stations`.
-
-    The fact is neither sorted nor shuffled: a hash aggregation over the key columns finds
-    each station's newest snapshot, at most one row per row of `stations`, and a broadcast
-    semi-join keeps the rows. The comparison always holds. It makes the optimizer
-    treat the newest days as selective, so the second scan reads only those partitions.
-    """
-    known = fact.join(F.broadcast(stations.select("station_key")), "station_key", "left_semi")
-    newest = known.groupBy("station_key").agg(
-        F.max("snapshot_timestamp").alias("snapshot_timestamp"),
-        F.max("snapshot_date").alias("snapshot_date"),
-    ).where(F.col("snapshot_date") <= F.to_date("snapshot_timestamp"))
-    return fact.join(F.broadcast(newest), ["station_key", "snapshot_timestamp", "snapshot_date"], "left_semi")
-
-
 def mart_station_live(fact: DataFrame, stations: DataFrame) -> DataFrame:
-    """Latest status per station. `stations` should be a stored table; its size is checked."""
-    described = stations.select(*LIVE_COLUMNS[:6])
-    small = fits_broadcast(described.select("station_key"))
-    latest = newest_snapshots(fact, described) if small else latest_status(fact)
-    return _described_once(latest, described)
+    """Latest status per station, by one plan whatever the sizes: one scan, and one row per station and task in the shuffle."""
+    return _described_once(latest_status(fact), stations.select(*LIVE_COLUMNS[:6]))
 
 
 def _described_once(latest: DataFrame, described: DataFrame) -> DataFrame:
@@ -182,9 +162,11 @@ def _described_once(latest: DataFrame, described: DataFrame) -> DataFrame:
 def refreshed_station_live(live: DataFrame, new_facts: DataFrame, stations: DataFrame) -> DataFrame:
     """The live mart after `new_facts`, from the mart as it was; the fact is not read again.
 
-    Equals a rebuild as long as `stations` has lost no station since the last one.
+    `new_facts` are all newer than the mart. Copies of one snapshot among them are ranked before
+    the union, while _ingested_at is there. Equals a rebuild as long as `stations` has lost no
+    station since the last one.
     """
     columns = [name for name in LIVE_COLUMNS if name not in LIVE_COLUMNS[1:6]]
-    candidates = live.select(*columns).unionByName(new_facts.select(*columns))
+    candidates = live.select(*columns).unionByName(latest_status(new_facts).select(*columns))
     described = stations.select(*LIVE_COLUMNS[:6])
     return _described_once(latest_status(candidates), described)

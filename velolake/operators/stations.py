@@ -38,11 +38,12 @@ def stations_in_trips(clean: DataFrame) -> DataFrame:
     """One observation per station code: the smallest by name, latitude, longitude.
 
     Equal observations collapse first in a hash aggregation over all four columns, which
-    spreads a busy station over many tasks; the minimum then sees few rows per station.
+    spreads a busy station over many tasks; the minimum then sees few rows per station. The
+    count, which is never 0, keeps the optimizer from merging both groupings into one sort.
     """
-    distinct = station_observations(clean).distinct()
+    counted = station_observations(clean).groupBy("station_code", "station_name", "latitude", "longitude").agg(F.count(F.lit(1)).alias("ends"))
     smallest = F.min(F.struct("station_name", "latitude", "longitude")).alias("seen")
-    return distinct.groupBy("station_code").agg(smallest).select("station_code", "seen.*")
+    return counted.where("ends > 0").groupBy("station_code").agg(smallest).select("station_code", "seen.*")
 
 
 def dim_station(information: DataFrame, clean: DataFrame) -> DataFrame:

@@ -95,13 +95,14 @@ def increment(status: DataFrame, stations: DataFrame, loaded: DataFrame, mode: s
 
 
 def not_loaded(candidates: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Candidates whose (station, snapshot) is not in `loaded`, of which only their days are read.
+    """Candidates whose (station, snapshot) is not in `loaded`.
 
-    The days are few: they are what both tables are split by.
+    The semi-join with the days of the candidates lets Spark skip all other days of `loaded`
+    when it runs.
     """
-    days = [row.snapshot_date for row in candidates.select("snapshot_date").distinct().collect()]
     key = [*STATUS_KEY, "snapshot_date"]
-    return candidates.join(loaded.where(F.col("snapshot_date").isin(days)).select(*key), key, "left_anti")
+    same_days = loaded.select(*key).join(candidates.select("snapshot_date").distinct(), "snapshot_date", "left_semi")
+    return candidates.join(same_days, key, "left_anti")
 
 
 def first_of_each(fact: DataFrame) -> DataFrame:
@@ -114,8 +115,8 @@ def first_of_each(fact: DataFrame) -> DataFrame:
     return kept.select(*STATUS_KEY, "kept.*").select(*fact.columns)
 
 
-def late_rows(status: DataFrame, stations: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Fact rows that the watermark load ignores although they were never loaded."""
+def late_rows(status: DataFrame, stations: DataFrame, loaded: DataFrame, newest_day: date | None = None) -> DataFrame:
+    """Fact rows that the watermark load ignores although they were never loaded; reads their days only."""
     candidates = fact_station_status(status, stations)
-    late = candidates.where(F.col("snapshot_timestamp") <= F.lit(high_watermark(loaded)))
-    return late.join(loaded.select(*STATUS_KEY), [*STATUS_KEY], "left_anti")
+    late = candidates.where(F.col("snapshot_timestamp") <= F.lit(high_watermark(loaded, newest_day)))
+    return not_loaded(late, loaded)

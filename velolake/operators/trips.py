@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,7 +68,7 @@ def reject_reason() -> Column:
         return F.col(name).isNull() | ~F.col(name).isin(*known)
 
     def any_null(*names: str) -> Column:
-        return F.coalesce(*[F.when(F.col(n).isNull(), True) for n in names], F.lit(False))
+        return reduce(or_, [F.col(name).isNull() for name in names])
 
     return (
         F.when(any_null("ride_id"), MISSING_RIDE_ID)

@@ -23,9 +23,9 @@ from velolake.sources.tables import Layers
 class RealtimeRefresh:
     """One refresh at the instant `now` over raw.station_status and mart.dim_station.
 
-    Checks and loads read the whole tables, or, with a `window`, only the snapshots of the
-    trailing time: row groups and days before it are skipped. The window must cover the
-    time since the last refresh.
+    Loads always read what is newer than the status fact, and the live mart what is newer than
+    itself, so a refresh that was missed or that failed is made up for by the next. Checks read
+    the whole tables or, with a `window`, only the snapshots of the trailing time.
     """
 
     layers: Layers
@@ -39,6 +39,7 @@ class RealtimeRefresh:
         self.now = self.now or datetime.now(timezone.utc)
 
     def raw(self) -> DataFrame:
+        """The raw snapshots to check."""
         return self._recent(self.layers.read("raw", "station_status"))
 
     def staged(self) -> DataFrame:
@@ -47,6 +48,10 @@ class RealtimeRefresh:
     def clean(self) -> DataFrame:
         return status.clean_station_status(self.staged())
 
+    def loadable(self) -> DataFrame:
+        """Clean snapshots of any age."""
+        return status.clean_station_status(staging.stage_station_status(self.layers.read("raw", "station_status")))
+
     def check_raw(self) -> int:
         """Raises when the feed is empty, faulty or stale."""
         return quality.require_raw_status(self.raw(), self.now)
@@ -70,9 +75,9 @@ class RealtimeRefresh:
         """Append new snapshots to the status fact; returns the rows added."""
         stations = self.layers.read("mart", "dim_station")
         if not self.layers.exists("mart", "fact_station_status"):
-            return self.layers.append(status.fact_station_status(self.clean(), stations), "mart", "fact_station_status")
+            return self.layers.append(status.fact_station_status(self.loadable(), stations), "mart", "fact_station_status")
         loaded, newest_day = self._loaded()
-        new = status.increment(self.clean(), stations, loaded, mode, newest_day)
+        new = status.increment(self.loadable(), stations, loaded, mode, newest_day)
         return self.layers.append(new, "mart", "fact_station_status")
 
     def build_live(self) -> int:
@@ -80,10 +85,12 @@ class RealtimeRefresh:
         fact, stations = self.layers.read("mart", "fact_station_status"), self.layers.read("mart", "dim_station")
         return self.layers.refresh(marts.mart_station_live(fact, stations), "mart", "mart_station_live")
 
-    def update_live(self, since: datetime) -> int:
-        """Bring the live mart up to date with the snapshots after `since`."""
-        new = status.newer_than(self.layers.read("mart", "fact_station_status"), since)
+    def update_live(self) -> int:
+        """Bring the live mart up to date with the snapshots that are newer than its own."""
         live, stations = self.layers.read("mart", "mart_station_live"), self.layers.read("mart", "dim_station")
+        newest = live.agg(F.max(F.unix_micros("snapshot_timestamp"))).first()[0]
+        since = status.EPOCH if newest is None else status.EPOCH + timedelta(microseconds=newest)
+        new = status.newer_than(self.layers.read("mart", "fact_station_status"), since)
         # A table cannot be replaced while it is read; the live mart has one row per station.
         updated = stored(marts.refreshed_station_live(live, new, stations), "mart_station_live")
         return self.layers.refresh(updated, "mart", "mart_station_live")
@@ -91,11 +98,10 @@ class RealtimeRefresh:
     def run(self, mode: str = "watermark", live: str = "rebuild") -> dict[str, int]:
         """All steps in order; returns the rows written per table.
 
-        `live` is "rebuild", or "update" to read only the snapshots of this refresh, which
-        needs the "watermark" mode and stations that stay the same.
+        `live` is "rebuild", or "update" to read only the snapshots newer than the live mart,
+        which needs the "watermark" mode and stations that stay the same.
         """
         update = live == "update" and mode == "watermark" and self.layers.exists("mart", "mart_station_live")
-        before = status.high_watermark(*self._loaded()) if update else None
         self.check_raw()
         self.check_dead_letters()
         self._gate("STREAMING_STAGING", quality.check_staged_status(self.staged()))
@@ -103,7 +109,7 @@ class RealtimeRefresh:
         rows = {"fact_station_status": self.load_fact(mode)}
         fact = self._recent(self.layers.read("mart", "fact_station_status"))
         self._gate("STREAMING_WAREHOUSE", quality.check_status_fact(fact))
-        rows["mart_station_live"] = self.update_live(before) if update else self.build_live()
+        rows["mart_station_live"] = self.update_live() if update else self.build_live()
         self._gate("STREAMING_ANALYTICS", quality.check_station_live(self.layers.read("mart", "mart_station_live")))
         return rows
 

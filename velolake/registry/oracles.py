@@ -40,7 +40,7 @@ KNOWN_FAULT = """ride_id IS NULL OR started_at IS NULL OR ended_at IS NULL OR en
     OR abs(start_lat) > 90 OR abs(end_lat) > 90 OR abs(start_lng) > 180 OR abs(end_lng) > 180"""
 
 REASON = """CASE WHEN ride_id IS NULL THEN 'missing ride_id'
-    WHEN coalesce(ended_at - started_at, NULL) IS NULL THEN 'missing timestamp'
+    WHEN started_at IS NULL OR ended_at IS NULL THEN 'missing timestamp'
     WHEN NOT started_at < ended_at THEN 'invalid trip time'
     WHEN coalesce(member_casual, '') NOT IN ('member', 'casual') THEN 'invalid user type'
     WHEN coalesce(rideable_type, '') NOT IN ('classic_bike', 'electric_bike') THEN 'invalid bike type'

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -11,10 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# Broadcasting a dimension is allowed up to this many (narrow) rows; see bounded_broadcast.
-BROADCAST_ROW_LIMIT = 100_000
-
-
 # Settings that change results: instants are UTC, a repeated key in an event keeps its last value.
 RESULT_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -58,19 +56,37 @@ def use_library_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Where the applications of this process keep their scratch folders: application id -> folder.
+_SCRATCH: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's shared spark.checkpoint.dir.
+    """A new folder below the cluster's shared spark.checkpoint.dir, removed when the process ends.
 
-    Only a local session may fall back to a folder of this machine, because
-    executors elsewhere could not see it.
+    Only a local session may go without the setting: it gets a temporary folder of its own,
+    which executors elsewhere could not see.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
+    application = spark.sparkContext.applicationId
+    if application not in _SCRATCH:
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if base:
+            _SCRATCH[application] = f"{base.rstrip('/')}/velolake-{application}"
+        elif spark.sparkContext.master.startswith("local"):
+            _SCRATCH[application] = tempfile.mkdtemp(prefix="velolake-")
+            atexit.register(shutil.rmtree, _SCRATCH[application], ignore_errors=True)
+        else:
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="velolake-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/velolake/{name}-{uuid.uuid4().hex}"
+        atexit.register(_remove_scratch, spark, _SCRATCH[application])
+    return f"{_SCRATCH[application]}/{name}-{uuid.uuid4().hex}"
+
+
+def _remove_scratch(spark: SparkSession, folder: str) -> None:
+    """Delete the folder with the file system that it is on, if the application still runs."""
+    context = spark.sparkContext
+    if context._jsc is None or context._jsc.sc().isStopped():
+        return
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -80,7 +96,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     table's real size, so small dimensions are broadcast and large ones are not.
     """
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -108,12 +124,7 @@ def stored_once(spark: SparkSession, key: tuple, name: str, build: Callable[[],
 
 
 def fingerprint(spark: SparkSession, *paths: str) -> tuple:
-    """Number, total size and newest change of the files at `paths`, from their listing alone."""
+    """Number of the files at `paths` and a hash of the path, size and change time of each, from their listing alone."""
     files = spark.read.format("binaryFile").load(list(paths))
-    newest = F.max(F.unix_micros("modificationTime"))
-    return tuple(files.agg(F.count(F.lit(1)), F.sum("length"), newest).first())
-
-
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
-    """Whether a stored table is small enough to broadcast; its rows are counted from file footers."""
-    return df.count() <= limit
+    each = F.xxhash64("path", "length", F.unix_micros("modificationTime"))
+    return tuple(files.agg(F.count(F.lit(1)), F.bit_xor(each), F.sum(F.pmod(each, F.lit(1 << 31)))).first())

@@ -13,13 +13,19 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).toDF("payload")
 
 
-def payload_stations(payloads: DataFrame, *keep: str) -> DataFrame:
+def payload_stations(payloads: DataFrame, *keep: str, strict: bool = True) -> DataFrame:
     """One row per entry of data.stations, as the variant column `station`.
 
-    A document that is not JSON, or whose data.stations is no list, is an error.
+    A document that is not JSON, or whose data.stations is no list, is an error. If not
+    `strict`, it is a row with the document in the column `bad_document` instead, which is
+    NULL in all other rows.
     """
-    document = F.parse_json(F.col("payload"))
+    document = (F.parse_json if strict else F.try_parse_json)(F.col("payload"))
     listed = F.try_variant_get(F.try_variant_get(document, "$.data.stations", "variant"), "$", "array<variant>")
+    if not strict:
+        bad = F.when(listed.isNull(), F.col("payload")).alias("bad_document")
+        one = F.when(listed.isNull(), F.array(F.lit(None).cast("variant"))).otherwise(listed)
+        return payloads.select(*keep, bad, F.explode(one).alias("station"))
     failure = F.raise_error(F.lit("data.stations is not a list")).cast("array<variant>")
     return payloads.select(*keep, F.explode(F.coalesce(listed, failure)).alias("station"))
 

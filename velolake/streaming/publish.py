@@ -12,16 +12,17 @@ from velolake.sources.station_feed import payload_stations
 ADDED_FIELDS = ("source_last_updated", "snapshot_timestamp")
 
 
-def fan_out_snapshot(payloads: DataFrame, snapshot_timestamp: Column | None = None) -> DataFrame:
+def fan_out_snapshot(payloads: DataFrame, snapshot_timestamp: Column | None = None, strict: bool = True) -> DataFrame:
     """Messages (key, value) of every station in the feed documents of `payload`.
 
     A message is the station's own fields plus the feed's last_updated and the time of
     the snapshot. Stations without an id have `value` NULL and are not to be published.
+    If not `strict`, documents that are no feed come back in `bad_document` instead of failing.
     """
     taken = F.current_timestamp() if snapshot_timestamp is None else snapshot_timestamp
     iso = F.date_format(taken, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-    updated = F.try_variant_get(F.parse_json("payload"), "$.last_updated", "variant")
-    stations = payload_stations(payloads.withColumns({"updated": updated, "iso": iso}), "updated", "iso")
+    updated = F.try_variant_get((F.parse_json if strict else F.try_parse_json)(F.col("payload")), "$.last_updated", "variant")
+    stations = payload_stations(payloads.withColumns({"updated": updated, "iso": iso}), "updated", "iso", strict=strict)
 
     station_id = F.try_variant_get("station", "$.station_id", "variant")
     text = F.try_variant_get("station", "$.station_id", "string")
@@ -34,7 +35,8 @@ def fan_out_snapshot(payloads: DataFrame, snapshot_timestamp: Column | None = No
         F.lit(ADDED_FIELDS[1]), F.col("iso").cast("variant"),
     )
     message = F.to_json(F.map_concat(own, added))
-    return stations.select(F.when(has_id, text).alias("key"), F.when(has_id, message).alias("value"))
+    bad = [] if strict else ["bad_document"]
+    return stations.select(F.when(has_id, text).alias("key"), F.when(has_id, message).alias("value"), *bad)
 
 
 def _is_falsy(value: Column, text: Column) -> Column:

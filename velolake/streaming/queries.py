@@ -51,18 +51,27 @@ def stream_split(messages: DataFrame, valid_path: str, dead_letter_path: str, ch
 def stream_publish(payloads: DataFrame, path: str, checkpoint: str, period: str | None = SNAPSHOT_PERIOD) -> StreamingQuery:
     """Publish each arriving feed document as one message line per station with an id.
 
-    The observed metrics `publishing` count published and skipped stations per batch.
+    A document that is no feed goes to the folder <path>-rejected and the stream goes on. The
+    observed metrics `publishing` count published and skipped stations and rejected documents.
     """
-    messages = fan_out_snapshot(payloads)
-    has_value = F.col("value").isNotNull()
+    messages = fan_out_snapshot(payloads, strict=False)
+    has_value, rejected = F.col("value").isNotNull(), F.col("bad_document").isNotNull()
     counted = messages.observe(
-        "publishing", F.count_if(has_value).alias("published"), F.count_if(~has_value).alias("skipped")
+        "publishing", F.count_if(has_value).alias("published"), F.count_if(~has_value & ~rejected).alias("skipped"),
+        F.count_if(rejected).alias("rejected")
     )
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.select("value").write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
+        batch = batch.persist()
+        try:
+            batch.where(has_value).select("value").write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
+            bad = batch.where(rejected).select("bad_document")
+            if not bad.isEmpty():
+                write_batch(bad, f"{path}-rejected", batch_id)
+        finally:
+            batch.unpersist()
 
-    return _start(counted.where(has_value).writeStream.foreachBatch(publish), checkpoint, period)
+    return _start(counted.where(has_value | rejected).writeStream.foreachBatch(publish), checkpoint, period)
 
 
 def stream_valid_events(messages: DataFrame) -> DataFrame:
