@@ -439,8 +439,10 @@ SELECTS: dict[str, str] = {
     ),
     "dq_dim_date": _dimension("dim_date", "date_key"),
     "dq_dim_station": _dimension("dim_station", "station_key"),
-    "dq_dim_rider_type": _dimension("dim_rider_type", "rider_type_key"),
-    "dq_dim_bike_type": _dimension("dim_bike_type", "bike_type_key"),
+    "dq_dim_rider_type": f"""SELECT *, (SELECT count(*) FROM int_trips_clean) AS clean_trips
+        FROM ({_dimension('dim_rider_type', 'rider_type_key')})""",
+    "dq_dim_bike_type": f"""SELECT *, (SELECT count(*) FROM int_trips_clean) AS clean_trips
+        FROM ({_dimension('dim_bike_type', 'bike_type_key')})""",
     "dq_fact_trips": _all(
         _some("WAREHOUSE", "fact_trips"),
         _none("WAREHOUSE", "fact_trips", "ride_id_not_null", "ride_id IS NULL"),

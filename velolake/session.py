@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +58,19 @@ def use_library_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def share_package(spark: SparkSession) -> SparkSession:
+    """Let Python workers on this machine import the package from where the driver has it.
+
+    Executors on other machines need it installed, or sent with --py-files.
+    """
+    root = str(Path(__file__).resolve().parent.parent)
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "")
+    if root not in paths.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, paths]))
+    return spark
+
+
 # Where the applications of this process keep their scratch folders: application id -> folder.
 _SCRATCH: dict[str, str] = {}
 
