@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velolake.llm.common import BYTE_CODES, mixed, powers, sent_if_small, text_chunks
+from velolake.llm.common import BYTE_CODES, mixed, powers, text_chunks
 from velolake.session import stored
 
 LENGTH = 400
@@ -39,8 +39,6 @@ PREFIX = LENGTH - WINDOW + 1
 HOT = 1 << 14
 # A task sends its runs when they hold about so many bytes; a bucket is to merge about so many.
 RUN_BYTES, BUCKET_BYTES = 16 << 20, 32 << 20
-# Lists of documents and places up to so many go to all tasks (about 40 MB), more are joined by shuffle.
-LISTED = 1 << 20
 
 _ANCHORS = "doc long, code long, key long, place long"
 _RUNS = "bucket long, shared array<int>, lengths array<int>, forward array<int>, repeats array<boolean>, doc array<long>, code array<long>, at array<long>, data binary"
@@ -343,13 +341,13 @@ def removed(docs: DataFrame) -> DataFrame:
     """doc, code and the byte spans (first, last behind it) of strings of LENGTH bytes that start elsewhere too."""
     texts = _texts(docs)
     every = document_anchors(texts)
-    counts = every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # Stored, so that the join sees two plain shuffles and can split the rows of a hot prefix.
+    counts = stored(every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "prefix-counts")
     place = F.when(F.col("n") > HOT, F.bitwise_not("place")).otherwise(F.col("place"))
     chosen = every.join(counts.hint("shuffle_hash"), "key").select("doc", "code", place.alias("place"))
     found = stored(chosen.groupBy("doc", "code").agg(F.collect_set("place").alias("places")), "anchor-lists")
     places = found.agg(F.sum(F.size("places"))).first()[0] or 0
     buckets = max(16, -(-places * (LENGTH + WINDOW // 2) // BUCKET_BYTES))
-    found = sent_if_small(found, F.size("places") + 1, LISTED)
     return sorted_runs(texts.join(found, ["doc", "code"]), buckets).groupBy("bucket").applyInPandas(merged_spans, _SPANS)
 
 
@@ -373,7 +371,6 @@ def dedup_strings(docs: DataFrame) -> DataFrame:
     ignored; an empty table gives no rows.
     """
     spans = stored(removed(docs).groupBy("doc", "code").agg(F.collect_set(F.struct("first", "last")).alias("spans")), "spans")
-    spans = sent_if_small(spans, F.size("spans") + 1, LISTED)
     texts = _texts(docs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
