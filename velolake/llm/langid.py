@@ -240,8 +240,13 @@ def train(docs: DataFrame, texts: int = TRAINING_TEXTS) -> ChainField:
     """The field of at most `texts` texts per language, from rows with text and lang that are not held out."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.col("text").cast("string")).alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    sample = rows.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= texts).select("text", "lang").collect()
+    rows = rows.withColumn("code", F.xxhash64("text"))
+    # Ranked without the texts; then `texts` keys per language find theirs.
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "code")
+    keys = rows.select("doc_id", "code", "lang").distinct().withColumn("n", F.row_number().over(first)).filter(F.col("n") <= texts).drop("n")
+    found = rows.alias("r").join(F.broadcast(keys).alias("k"), (F.col("r.code") == F.col("k.code")) & (F.col("r.lang") == F.col("k.lang"))
+                                 & F.col("r.doc_id").eqNullSafe(F.col("k.doc_id"))).select("r.*")
+    sample = found.dropDuplicates(["doc_id", "code", "lang"]).orderBy("doc_id", "code", "lang").select("text", "lang").collect()
     return fit([r["text"] for r in sample], [r["lang"] for r in sample])
 
 
