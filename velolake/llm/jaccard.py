@@ -4,9 +4,10 @@ Equal sets are one class. Classes that share one of the rarest shingles of both
 global order, common shingles last) are candidates, since sets with a similarity of 4/5 must.
 
 Two relations between sets save work:
-* Answers are derived from similar sets. Classes whose first shingles mostly agree are checked
-  against one leader each. Those found similar share the leader's answer, its component, and are
-  never paired with one another.
+* Answers are derived from similar sets. Classes that agree in a pair of least hashes are checked
+  against one leader of all that do. Those found similar share the leader's answer, its component,
+  and are never paired with one another. Of the pairs that remain, each set is first checked
+  against the set that shares most with it, and pairs that then are in one component are done.
 * Index lists are skipped in blocks. A list whose classes are all of one component is left out
   whole; the others are read by blocks of set size, and a pair in a block only if the positions of
   the shingle in both sets leave room for the overlap they need.
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velolake.llm.common import text_chunks
+from velolake.llm.common import mixed, sent_if_small, text_chunks
 from velolake.llm.graph import components
 from velolake.llm.shingles import shingle_sets
 from velolake.session import stored
@@ -36,16 +37,19 @@ SIMILARITY = 80
 # The order puts so many of the most frequent shingles last; 8 bytes each go to every task. The
 # order changes which shingles are compared first, never the result.
 COMMON = 1 << 17
-# A shingle counts as frequent where a batch of rows holds it at least so often.
-LOCAL_REPEATS = 4
-# Leaders come from so many first shingles, of which so many must agree.
-FIRST, AGREE = 4, 2
+# A shingle counts as frequent where documents with so much text hold it at least so often.
+TALLY_BYTES, LOCAL_REPEATS = 16 << 20, 4
+# The hash range is cut in 2 * MARKS parts; a mark is a hash of the least hashes of two of them.
+MARKS = 4
+# Rounds that check one pair of each set before all pairs that are still open.
+BEST_ROUNDS = 2
 # Sets that are checked against one set at a time.
 GROUP = 256
 # Texts are found by a broadcast list of so many keys and targets at most (about 20 MB), by a shuffle beyond.
 LISTED_KEYS = 1 << 18
 
-_SETS = "doc_id long, code long, n int, key long, key2 long, prefix array<long>"
+_SETS = "doc_id long, code long, n int, key long, key2 long, odd int, marks array<long>, prefix array<long>"
+_PARTS = np.arange(2 * MARKS, dtype=np.uint64) << np.uint64(65 - (2 * MARKS).bit_length())
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -57,18 +61,34 @@ def _texts(docs: DataFrame) -> DataFrame:
 def common_shingles(texts: DataFrame, count: int = COMMON) -> np.ndarray:
     """The most frequent shingles, the rarest of them first, by their numbers of documents over all texts.
 
-    Batches of rows that hold a shingle fewer than LOCAL_REPEATS times do not report it.
+    Stretches of TALLY_BYTES that hold a shingle fewer than LOCAL_REPEATS times do not report it.
     """
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s for _, _, data, offsets in text_chunks(batch.column("text")) for s in shingle_sets(data, offsets)]
-            if sets:
-                found, n = np.unique(np.concatenate(sets), return_counts=True)
+            sets, size = [], 0
+            for _, end, data, offsets in text_chunks(batch.column("text")):
+                sets += shingle_sets(data, offsets)
+                size += len(data)
+                if size < TALLY_BYTES and end < batch.num_rows:
+                    continue
+                tokens = np.concatenate(sets)
+                tokens.sort()
+                edge = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1])) if len(tokens) else np.empty(0, np.int64)
+                n = np.diff(np.append(edge, len(tokens)))
                 often = n >= LOCAL_REPEATS
-                yield pa.RecordBatch.from_arrays([pa.array(found[often].view(np.int64)), pa.array(n[often].astype(np.int64))], names=["token", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(tokens[edge[often]].view(np.int64)), pa.array(n[often])], names=["token", "n"])
+                sets, size = [], 0
 
     counts = texts.select("text").mapInArrow(tally, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "token").limit(count).toPandas()
+    counts = stored(counts.withColumn("step", F.floor(F.log2("n") * 16).cast("int")), "shingle-counts")
+    # As many of the highest steps as hold at most `count` shingles; there are at most 1024 steps.
+    held, least = 0, 1024
+    for row in sorted(counts.groupBy("step").agg(F.count(F.lit(1)).alias("held")).collect(), reverse=True):
+        held += row["held"]
+        if held > count:
+            break
+        least = row["step"]
+    top = counts.filter(F.col("step") >= least).select("token", "n").toPandas()
     return top.sort_values(["n", "token"])["token"].to_numpy(np.int64).view(np.uint64)
 
 
@@ -77,35 +97,46 @@ def prefix_length(n: int, similarity: int = SIMILARITY) -> int:
     return n - -(-similarity * n // 100) + 1 if n else 0
 
 
+def least_marks(tokens: np.ndarray) -> np.ndarray:
+    """MARKS numbers that similar sets of sorted hashes are likely to share some of."""
+    at = np.searchsorted(tokens, _PARTS)
+    least = np.append(tokens, np.uint64(0))[at]
+    return mixed(least[::2] ^ mixed(least[1::2] + np.arange(MARKS, dtype=np.uint64))).view(np.int64)
+
+
 def with_prefixes(texts: DataFrame, common: np.ndarray, similarity: int = SIMILARITY) -> DataFrame:
-    """doc_id, code, n, key and key2 (hash of the set), prefix of every row, stored.
+    """doc_id, code, n, key and key2 (hash of the set), odd (shingles that are not common), marks, prefix of every row, stored.
 
-    prefix is null for copies of an earlier set in the same batch of rows, and for empty sets.
+    marks and prefix are null for copies of an earlier set in the same batch of rows, and for empty sets.
     """
     order = np.argsort(common)
     ranked = common[order]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, keys, prefixes, seen = [], [], [], set()
+            n, keys, odd, marks, prefixes, seen = [], [], [], [], [], set()
             for _, _, data, offsets in text_chunks(batch.column("text")):
                 for tokens in shingle_sets(data, offsets):
                     n.append(len(tokens))
                     key = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
                     keys.append(key)
+                    odd.append(len(tokens))
                     if key in seen or not len(tokens):
+                        marks.append(None)
                         prefixes.append(None)
                         continue
                     seen.add(key)
+                    marks.append(least_marks(tokens))
                     if len(ranked):
                         at = np.minimum(np.searchsorted(ranked, tokens), len(ranked) - 1)
                         hit = ranked[at] == tokens
+                        odd[-1] -= int(hit.sum())
                         if hit.any():
                             tokens = tokens[np.lexsort((tokens, np.where(hit, order[at] + 1, 0)))]
                     prefixes.append(tokens[:prefix_length(len(tokens), similarity)].view(np.int64))
             halves = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("code"), pa.array(n, pa.int32()), pa.array(halves[:, 0]),
-                                              pa.array(halves[:, 1]), pa.array(prefixes, pa.list_(pa.int64()))], names=[x.split()[0] for x in _SETS.split(", ")])
+                                              pa.array(halves[:, 1]), pa.array(odd, pa.int32()), pa.array(marks, pa.list_(pa.int64())), pa.array(prefixes, pa.list_(pa.int64()))], names=[x.split()[0] for x in _SETS.split(", ")])
 
     return stored(texts.mapInArrow(build, _SETS), "jaccard-sets")
 
@@ -116,7 +147,7 @@ def needed_overlap(a: Column, b: Column, similarity: int = SIMILARITY) -> Column
 
 
 def list_pairs(lists: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
-    """Pairs a < b of classes of different components that one list leaves possible: a, b, size_a, size_b.
+    """Pairs a < b of classes of different components that one list leaves possible, and their sizes.
 
     Lists are joined by blocks of set size; similar sets are in the same or neighbouring blocks.
     """
@@ -147,8 +178,7 @@ def check_pairs(texts: DataFrame, sets: DataFrame, pairs: DataFrame, similarity:
     # One text of each class.
     owners = sets.filter("prefix IS NOT NULL").groupBy("key").agg(F.min(F.struct("doc_id", "code")).alias("at"))
     wanted = stored(wanted.join(owners, "key").select("key", "to", "at.doc_id", "at.code"), "wanted")
-    if (wanted.agg(F.sum(F.size("to") + 1)).first()[0] or 0) <= LISTED_KEYS:
-        wanted = F.broadcast(wanted)
+    wanted = sent_if_small(wanted, F.size("to") + 1, LISTED_KEYS)
     found = texts.join(wanted.withColumnRenamed("doc_id", "_doc").withColumnRenamed("code", "_code"),
                        (F.col("code") == F.col("_code")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
 
@@ -195,15 +225,17 @@ def join_components(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     entries = sets.filter("prefix IS NOT NULL").select("key", "n", F.posexplode("prefix").alias("position", "token"))
     # A shuffled row of a list holds three numbers.
     entries = entries.select("token", "key", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("position").cast("long")).alias("place"))
-    # Leaders of the classes whose first shingles agree.
-    first = entries.filter(F.col("place").bitwiseAND(0xFFFFFFFF) < FIRST).select("token", "key").distinct()
-    leaders = first.groupBy("token").agg(F.min("key").alias("leader"), F.max("key").alias("last")).filter("leader < last").select("token", "leader")
-    led = first.join(leaders, "token").filter("key <> leader").groupBy("leader", "key").agg(F.count(F.lit(1)).alias("n"))
-    links = check_pairs(texts, sets, led.filter(F.col("n") >= AGREE).select(F.col("key").alias("a"), F.col("leader").alias("b")), similarity)
+    # The leader of the classes that share a mark is the one with the fewest odd shingles: of edited copies, the least edited.
+    marked = sets.filter("marks IS NOT NULL").select("key", "odd", F.posexplode("marks").alias("part", "mark"))
+    leaders = marked.groupBy("part", "mark").agg(F.min(F.struct("odd", "key")).alias("leader"), F.min("key").alias("x"), F.max("key").alias("y"))
+    leaders = leaders.filter("x < y").select("part", "mark", F.col("leader.key").alias("leader"))
+    led = marked.join(leaders, ["part", "mark"]).filter("key <> leader").select(F.col("key").alias("a"), F.col("leader").alias("b")).distinct()
+    links = check_pairs(texts, sets, led, similarity)
     known = stored(components(links), "known")
     # Lists of more than one class, then of more than one component.
     shared = entries.groupBy("token").agg(F.min("key").alias("x"), F.max("key").alias("y")).filter("x < y").select("token")
-    lists = stored(entries.join(shared.hint("shuffle_hash"), "token", "left_semi"), "lists").dropDuplicates(["token", "key"])
+    shared = stored(shared, "shared").hint("shuffle_hash")  # stored, so that the join can split a hot list
+    lists = stored(entries.join(shared, "token", "left_semi"), "lists").dropDuplicates(["token", "key"])
     lists = lists.select("token", "key", F.shiftright("place", 32).alias("n"), F.col("place").bitwiseAND(0xFFFFFFFF).alias("position"))
     lists = lists.join(known, F.col("key") == F.col("node"), "left").withColumn("component", F.coalesce("component", "key")).drop("node")
     open_ = lists.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("token")
@@ -211,9 +243,22 @@ def join_components(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     counted = list_pairs(lists, similarity).groupBy("a", "b", "size_a", "size_b").agg(F.count(F.lit(1)).alias("shared"))
     # Beyond the shared part of the prefix that ends first, at most the rest of that set overlaps.
     rest = F.greatest(*(F.ceil(F.col(c) * similarity / 100) for c in ("size_a", "size_b"))) - 1
-    likely = counted.filter(F.col("shared") + rest >= needed_overlap(F.col("size_a"), F.col("size_b"), similarity)).select("a", "b")
-    more = check_pairs(texts, sets, likely, similarity)
-    reached = components(links.union(more))
+    likely = counted.filter(F.col("shared") + rest >= needed_overlap(F.col("size_a"), F.col("size_b"), similarity))
+    open_pairs = stored(likely.select("a", "b", "shared"), "likely")
+    # First the pair of each set that shares most: its answer joins components, which closes the pairs within them.
+    for turn in range(BEST_ROUNDS + 1):
+        chosen = open_pairs.select("a", "b")
+        if turn < BEST_ROUNDS:
+            sides = open_pairs.select("a", "b", "shared").union(open_pairs.select("b", "a", "shared"))
+            best = sides.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("best"))
+            chosen = best.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct()
+        chosen = stored(chosen, "chosen")
+        links = links.union(check_pairs(texts, sets, chosen, similarity))
+        reached = stored(components(links), "reached")
+        if turn < BEST_ROUNDS:
+            left, right = (reached.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in")) for c in ("a", "b"))
+            still = open_pairs.join(chosen, ["a", "b"], "left_anti").join(left, "a", "left").join(right, "b", "left")
+            open_pairs = stored(still.filter(F.coalesce("a_in", "a") != F.coalesce("b_in", "b")).select("a", "b", "shared"), "open-pairs")
     # A set without links is told by both halves of its hash.
     classes = sets.filter("n > 0").groupBy("key", "key2").agg(F.min("doc_id").alias("least"))
     classes = classes.join(reached, F.col("key") == F.col("node"), "left").select(
@@ -224,3 +269,17 @@ def join_components(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     linked = sets.filter("n > 0").join(classes, ["key", "key2"]).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
     empty = sets.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(empty)
+
+
+def first_of_components(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """The rows of `docs` with the smallest doc_id of their component; all columns stay.
+
+    Of rows that share a doc_id, one stays. Rows without doc_id cannot be told apart and stay.
+    """
+    found = join_components(docs, similarity)
+    gone = stored(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    gone = sent_if_small(gone, F.lit(1), LISTED_KEYS)
+    kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    again = stored(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_again")), "again")
+    once = kept.join(again, F.col("doc_id") == F.col("_again"), "left_anti")
+    return once.unionByName(kept.join(again, F.col("doc_id") == F.col("_again"), "left_semi").dropDuplicates(["doc_id"]))
