@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velolake.llm import exact, jaccard, langid, lines, mixing, packing, quality, suffixes, topk, warc
+from velolake.llm import collocations, exact, jaccard, langid, lines, mixing, packing, passages, periods, quality, suffixes, topk, warc
 from velolake.llm.common import table
 
 
@@ -51,6 +51,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.dedup_passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.run_digests(periods.periodic_runs(periods.planted(table(spark, sf_dir, "documents"))))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_threshold_topk": op2_threshold_topk,
@@ -62,10 +75,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_language": op9_language,
     "op10_packing": op10_packing,
+    "op11_seed_extend": op11_seed_extend,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES: dict[str, str] = {
     "op2_threshold_topk": topk.ORACLE,
     "op7_zip_warc": warc.ORACLE,
     "op8_exact_dedup": exact.ORACLE,
+    "op11_seed_extend": passages.ORACLE,
+    "op12_periodic_runs": periods.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }

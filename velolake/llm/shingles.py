@@ -18,8 +18,11 @@ _LOWER[65:91] += 32
 _CODES = BYTE_CODES[_LOWER]
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word of texts that stand one after the other, A-Z as a-z, and the number of words before each text."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray = _CODES) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word of texts that stand one after the other, and the number of words before each text.
+
+    `codes` has a number per byte value; those given here take A-Z as a-z.
+    """
     inside = ~_SPACE[data]
     starting = inside.copy()
     starting[1:] &= ~inside[:-1]
@@ -32,8 +35,8 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     first = np.searchsorted(place, starts)
     lengths = np.diff(np.append(first, len(place)))
     position = np.arange(len(place)) - np.repeat(first, lengths)
-    codes = np.add.reduceat(_CODES[data[place]] * powers(int(lengths.max()))[position], first)
-    return mixed(codes + lengths.astype(np.uint64)), np.searchsorted(starts, offsets)
+    sums = np.add.reduceat(codes[data[place]] * powers(int(lengths.max()))[position], first)
+    return mixed(sums + lengths.astype(np.uint64)), np.searchsorted(starts, offsets)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> Iterator[np.ndarray]:
