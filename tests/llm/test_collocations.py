@@ -62,7 +62,7 @@ def test_all_phrases(spark, seed):
 def test_small_chunks_and_filter(spark, monkeypatch):
     """Many chunks; a filter of so few bits that nearly everything passes."""
     rows = texts(3)
-    monkeypatch.setattr(collocations, "CHUNK_WORDS", 100)
+    monkeypatch.setattr(collocations, "CHUNK_BYTES", 300)
     monkeypatch.setattr(collocations, "FILTER_BITS", 8)
     assert found(spark, rows) == brute(rows)
 

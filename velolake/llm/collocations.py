@@ -12,19 +12,19 @@ counted in vain and falls below the support; none is lost.
 
 from __future__ import annotations
 
-import re
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from velolake.llm.common import mixed
+from velolake.llm.common import mixed, text_chunks
+from velolake.llm.shingles import LOWER_CODES, hashed_words
 from velolake.session import stored
 
 SUPPORT, LONGEST = 30, 4
@@ -32,63 +32,67 @@ SHARDS = 6
 # A part of a longer phrase goes if the longer one has so many hundredths of its occurrences.
 ABSORBED = 80
 TOP = 2000
-# Words that a task counts together.
-CHUNK_WORDS = 1 << 22
+# Bytes of text that a task counts together.
+CHUNK_BYTES = 24 << 20
 # log2 of the bits of the filter (16 MB), and the bits that a phrase sets.
 FILTER_BITS, PROBES = 27, 4
 
-_BREAKS = re.compile(rb"[.,;:!?\n-\r]+")
+_BREAK = np.zeros(256, bool)
+_BREAK[[*b".,;:!?", *range(10, 14)]] = True
+_BETWEEN = _BREAK.copy()
+_BETWEEN[[9, 32]] = True
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _FACTORS = mixed(np.arange(1, LONGEST + 1, dtype=np.uint64)) | np.uint64(1)
 _ODD = mixed(np.arange(101, 101 + PROBES, dtype=np.uint64)) | np.uint64(1)
 
 
-class Chunk:
-    """Words of many texts as numbers, per language; 0 stands between pieces."""
-
-    def __init__(self) -> None:
-        self.number: dict[bytes, int] = defaultdict(count().__next__)
-        self.number[b"."]  # no word holds a break
-        self.held: dict[str, list[np.ndarray]] = {}
-        self.size = 0
-
-    def add(self, lang: str, text: bytes) -> None:
-        words = _BREAKS.sub(b" . ", text.translate(_LOWER)).split()
-        words.append(b".")
-        self.held.setdefault(lang, []).append(np.fromiter(map(self.number.__getitem__, words), np.int32, len(words)))
-        self.size += len(words)
-
-    def words(self) -> Iterator[tuple[str, np.ndarray, np.ndarray, list[bytes]]]:
-        """lang, word numbers, their hashes (which depend on the language), and the words by number."""
-        names = list(self.number)
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in names), np.uint64, len(names))
-        for lang, parts in self.held.items():
-            numbers = np.concatenate(parts)
-            yield lang, numbers, mixed(hashes ^ np.uint64(xxhash.xxh64_intdigest(lang.encode(), seed=1)))[numbers], names
-
-
-def chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[Chunk]:
-    """Chunks of `most` words or a little more."""
-    chunk = Chunk()
+@dataclass
+class Words:
+    """Words of many texts of one language: hashes, numbers of their pieces, and the bytes from first to end of each."""
+
+    hashes: np.ndarray
+    pieces: np.ndarray
+    first: np.ndarray
+    end: np.ndarray
+    data: bytes
+
+    @classmethod
+    def of(cls, lang: str, parts: list[tuple[np.ndarray, np.ndarray]]) -> Words:
+        """Of texts that stand one after the other, in parts of bytes and offsets."""
+        own = np.uint64(xxhash.xxh64_intdigest(lang.encode()))
+        columns, at, piece = [], 0, 0
+        for data, offsets in parts:
+            hashes, first, lengths, counts = hashed_words(data, offsets, LOWER_CODES, _BETWEEN)
+            pieces = np.cumsum(_BREAK[data])[first] + np.repeat(np.arange(len(offsets) - 1), np.diff(counts)) + piece
+            columns.append((mixed(hashes ^ own), pieces, first + at, first + lengths + at))
+            at, piece = at + len(data), piece + len(data) + len(offsets)
+        return cls(*map(np.concatenate, zip(*columns, strict=True)), b"".join(data.tobytes() for data, _ in parts))
+
+    def phrase(self, place: int, size: int) -> bytes:
+        return b" ".join(self.data[self.first[place]:self.end[place + size - 1]].translate(_LOWER).split())
+
+    def keys(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of the `size` words from each place on, and whether they are in one piece."""
+        places = max(len(self.hashes) - size + 1, 0)
+        keys = np.full(places, size, np.uint64)
+        for k in range(size):
+            keys += self.hashes[k:k + places] * _FACTORS[k]
+        return mixed(keys), self.pieces[:places] == self.pieces[size - 1:size - 1 + places]
+
+
+def language_words(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[str, Words]]:
+    """The texts of each language, about `most` bytes of all languages at a time."""
+    held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+    size = 0
     for batch in batches:
-        for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):
-            if text.is_valid:
-                chunk.add(lang.as_py(), text.as_buffer().to_pybytes())
-            if chunk.size >= most:
-                yield chunk
-                chunk = Chunk()
-    if chunk.size:
-        yield chunk
-
-
-def phrase_keys(numbers: np.ndarray, hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the `size` words from each place on, and whether they are in one piece."""
-    places = max(len(numbers) - size + 1, 0)
-    keys, inside = np.zeros(places, np.uint64), np.ones(places, bool)
-    for k in range(size):
-        keys += hashes[k:k + places] * _FACTORS[k]
-        inside &= numbers[k:k + places] > 0
-    return mixed(keys + np.uint64(size)), inside
+        for lang in pc.unique(batch.column("lang")).to_pylist():
+            for _, _, data, offsets in text_chunks(batch.column("text").filter(pc.equal(batch.column("lang"), lang))):
+                held.setdefault(lang, []).append((data, offsets))
+                size += len(data)
+                if size >= most:
+                    yield from ((name, Words.of(name, parts)) for name, parts in held.items())
+                    held, size = {}, 0
+    yield from ((name, Words.of(name, parts)) for name, parts in held.items())
 
 
 def passing(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -101,36 +105,37 @@ def passing(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return found
 
 
-def possible(numbers: np.ndarray, hashes: np.ndarray, size: int, bits: np.ndarray | None, part: int) -> tuple[np.ndarray, np.ndarray]:
+def possible(words: Words, size: int, bits: np.ndarray | None, part: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of the phrases of `size` words whose parts of `part` words all pass the filter, and their keys."""
-    keys, inside = phrase_keys(numbers, hashes, size)
+    keys, inside = words.keys(size)
     places = np.flatnonzero(inside)
     if bits is not None and len(places):
-        parts, _ = phrase_keys(numbers, hashes, part)
-        frequent = passing(bits, parts)
-        for k in range(size - part + 1):
-            places = places[frequent[places + k]]
+        if part == size:
+            places = places[passing(bits, keys[places])]
+        else:
+            frequent = passing(bits, words.keys(part)[0])
+            for k in range(size - part + 1):
+                places = places[frequent[places + k]]
     return places, keys[places]
 
 
 def locally_frequent(texts: DataFrame, sizes: tuple[int, ...], held: DataFrame | None) -> DataFrame:
     """Keys of the phrases of these sizes that are frequent in a shard, given those of the frequent parts one level below."""
     bits = sent_filter(held) if held is not None else None
-    part, most = min(sizes) - 1, CHUNK_WORDS
+    part, most, shards = min(sizes) - 1, CHUNK_BYTES, SHARDS
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = TaskContext.get().partitionId() % SHARDS
-        for chunk in chunks(batches, most):
-            for _, numbers, hashes, _ in chunk.words():
-                for size in sizes:
-                    keys, counts = np.unique(possible(numbers, hashes, size, bits.value if bits else None, part)[1], return_counts=True)
-                    for i in range(0, len(keys), 1 << 16):
-                        some = slice(i, i + (1 << 16))
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys[some]), shard, np.int32)), pa.array(keys[some].view(np.int64)), pa.array(counts[some])], names=["shard", "key", "n"])
+        shard = TaskContext.get().partitionId() % shards
+        for _, words in language_words(batches, most):
+            for size in sizes:
+                keys, counts = np.unique(possible(words, size, bits.value if bits else None, part)[1], return_counts=True)
+                for i in range(0, len(keys), 1 << 16):
+                    some = slice(i, i + (1 << 16))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys[some]), shard, np.int32)), pa.array(keys[some].view(np.int64)), pa.array(counts[some])], names=["shard", "key", "n"])
 
     counted = texts.mapInArrow(tally, "shard int, key long, n long").groupBy("shard", "key").agg(F.sum("n").alias("n"))
     # n >= SUPPORT / SHARDS, in whole numbers.
-    return stored(counted.filter(F.col("n") * SHARDS >= SUPPORT).select("key").distinct(), "local-phrases")
+    return stored(counted.filter(F.col("n") * shards >= SUPPORT).select("key").distinct(), "local-phrases")
 
 
 def sent_filter(keys: DataFrame) -> Broadcast:
@@ -151,28 +156,26 @@ def sent_filter(keys: DataFrame) -> Broadcast:
 
 def counted_phrases(texts: DataFrame, candidates: DataFrame) -> DataFrame:
     """lang, size, phrase, n of all phrases that occur SUPPORT times, and of size 0 the number of words per lang, stored."""
-    bits, most = sent_filter(candidates), CHUNK_WORDS
+    bits, most = sent_filter(candidates), CHUNK_BYTES
     schema = "lang string, size int, phrase binary, n long"
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches, most):
-            for lang, numbers, hashes, names in chunk.words():
-                out = [(0, b"", int((numbers > 0).sum()))]
-                for size in range(1, LONGEST + 1):
-                    places, keys = possible(numbers, hashes, size, bits.value, size)
-                    _, first, inverse, counts = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-                    # Phrases that differ and share a key count one by one.
-                    strange = np.zeros(len(places), bool)
-                    for k in range(size):
-                        strange |= numbers[places + k] != numbers[places[first[inverse]] + k]
-                    np.subtract.at(counts, inverse[strange], 1)
-                    rows = numbers[places[first][:, None] + np.arange(size)].tolist()
-                    out += [(size, b" ".join([names[w] for w in row]), n) for row, n in zip(rows, counts.tolist(), strict=True)]
-                    out += [(size, b" ".join([names[w] for w in numbers[place:place + size].tolist()]), 1) for place in places[strange].tolist()]
-                for i in range(0, len(out), 1 << 15):
-                    part = list(zip(*out[i:i + (1 << 15)], strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part[0]), pa.string()), pa.array(part[0], pa.int32()), pa.array(part[1], pa.binary()), pa.array(part[2], pa.int64())],
-                                                     names=[x.split()[0] for x in schema.split(", ")])
+        for lang, words in language_words(batches, most):
+            out = [(0, b"", len(words.hashes))]
+            for size in range(1, LONGEST + 1):
+                places, keys = possible(words, size, bits.value, size)
+                _, first, inverse, counts = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+                # Phrases that differ and share a key count one by one.
+                strange = np.zeros(len(places), bool)
+                for k in range(size):
+                    strange |= words.hashes[places + k] != words.hashes[places[first[inverse]] + k]
+                np.subtract.at(counts, inverse[strange], 1)
+                out += [(size, words.phrase(place, size), n) for place, n in zip(places[first].tolist(), counts.tolist(), strict=True)]
+                out += [(size, words.phrase(place, size), 1) for place in places[strange].tolist()]
+            for i in range(0, len(out), 1 << 15):
+                part = list(zip(*out[i:i + (1 << 15)], strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part[0]), pa.string()), pa.array(part[0], pa.int32()), pa.array(part[1], pa.binary()), pa.array(part[2], pa.int64())],
+                                                 names=[x.split()[0] for x in schema.split(", ")])
 
     counts = texts.mapInArrow(tally, schema).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
     counts = counts.filter((F.col("n") >= SUPPORT) | (F.col("size") == 0))
@@ -188,7 +191,7 @@ def collocations(docs: DataFrame, top: int = TOP) -> DataFrame:
     number of words of the language. Phrases inside a longer one that has ABSORBED hundredths of
     their occurrences go. By score, then a (both descending), then phrase. Null lang is `und`; null
     and empty texts have no words; repeated rows count each; doc_id and other columns are ignored;
-    an empty table gives no rows. A task counts CHUNK_WORDS words, or one longer text, at a time.
+    an empty table gives no rows. A task counts CHUNK_BYTES of text, or one longer text, at a time.
     """
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").cast("binary").alias("text"))
     words = locally_frequent(texts, (1,), None)

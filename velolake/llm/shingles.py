@@ -15,28 +15,34 @@ _SPACE[9:14] = True
 _SPACE[32] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_CODES = BYTE_CODES[_LOWER]
+LOWER_CODES = BYTE_CODES[_LOWER]
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray = _CODES) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word of texts that stand one after the other, and the number of words before each text.
+def hashed_words(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts that stand one after the other: hash, start and length of every word, and the number of words before each text.
 
-    `codes` has a number per byte value; those given here take A-Z as a-z.
+    `codes` has a number per byte value, `space` marks the byte values between words.
     """
-    inside = ~_SPACE[data]
+    inside = ~space[data]
     starting = inside.copy()
     starting[1:] &= ~inside[:-1]
     bounds = offsets[:-1][offsets[:-1] < offsets[1:]]
     starting[bounds] = inside[bounds]  # a text ends a word
     starts = np.flatnonzero(starting)
     if not len(starts):
-        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return np.empty(0, np.uint64), starts, starts, np.zeros(len(offsets), np.int64)
     place = np.flatnonzero(inside)
     first = np.searchsorted(place, starts)
     lengths = np.diff(np.append(first, len(place)))
     position = np.arange(len(place)) - np.repeat(first, lengths)
     sums = np.add.reduceat(codes[data[place]] * powers(int(lengths.max()))[position], first)
-    return mixed(sums + lengths.astype(np.uint64)), np.searchsorted(starts, offsets)
+    return mixed(sums + lengths.astype(np.uint64)), starts, lengths, np.searchsorted(starts, offsets)
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, codes: np.ndarray = LOWER_CODES) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word of texts that stand one after the other, A-Z as a-z unless `codes` differ, and the number of words before each text."""
+    hashes, _, _, counts = hashed_words(data, offsets, codes, _SPACE)
+    return hashes, counts
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> Iterator[np.ndarray]:
