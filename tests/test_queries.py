@@ -9,6 +9,9 @@ from check_queries import compare, open_tables
 
 FOLDER = "/root/testdata/sf0.001"
 
+# Learned models, byte-pair encoding and mixes are beyond SQL; the others are tested by brute force in tests/llm.
+WITHOUT_SQL = {"op1_mixing", "op3_suffix_dedup", "op4_jaccard_join", "op5_line_dedup", "op6_quality", "op9_language", "op10_packing", "pipeline"}
+
 pytestmark = pytest.mark.skipif(not Path(FOLDER).is_dir(), reason="the given tables are not here")
 
 
@@ -20,7 +23,8 @@ def database():
 @pytest.mark.parametrize("name", list(queries()))
 def test_query_agrees_with_its_sql(spark, database, name):
     result = compare(spark, database, FOLDER, name)
-    assert result.has_oracle and not result.problems, str(result)
+    assert result.has_oracle != (name in WITHOUT_SQL) and not result.problems, str(result)
+    assert result.has_oracle or result.rows
 
 
 def test_no_sql_without_query():

@@ -7,9 +7,12 @@ import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
+from py4j.java_gateway import JavaObject, JVMView
+from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,27 +84,77 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     Only a local session may go without the setting: it gets a temporary folder of its own,
     which executors elsewhere could not see.
     """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     application = spark.sparkContext.applicationId
     if application not in _SCRATCH:
-        base = spark.conf.get("spark.checkpoint.dir", None)
         if base:
             _SCRATCH[application] = f"{base.rstrip('/')}/velolake-{application}"
-        elif spark.sparkContext.master.startswith("local"):
+        else:
             _SCRATCH[application] = tempfile.mkdtemp(prefix="velolake-")
             atexit.register(shutil.rmtree, _SCRATCH[application], ignore_errors=True)
-        else:
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        atexit.register(_remove_scratch, spark, _SCRATCH[application])
+        # The file system does not need the session, so the folder also goes if that was stopped before.
+        context = spark.sparkContext
+        atexit.register(_remove, context._jvm, context._jsc.hadoopConfiguration(), _SCRATCH[application])
     return f"{_SCRATCH[application]}/{name}-{uuid.uuid4().hex}"
 
 
-def _remove_scratch(spark: SparkSession, folder: str) -> None:
-    """Delete the folder with the file system that it is on, if the application still runs."""
+def _remove(jvm: JVMView, configuration: JavaObject, folder: str) -> None:
+    """Delete the folder with the file system that it is on, as long as the virtual machine answers."""
+    try:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(configuration).delete(path, True)
+    except (Py4JError, OSError):
+        pass
+
+
+# Folders that the open scopes answer for, the innermost last.
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete the tables that were stored inside when the block ends.
+
+    Yields a function that marks a DataFrame as needed later: the tables that its plan reads stay,
+    and the enclosing scope, if any, answers for them. After an error nothing is deleted.
+    """
+    needed: set[str] = set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        needed.update(_read_folders(df))
+        return df
+
+    _SCOPES.append([])
+    try:
+        yield keep
+    except BaseException:
+        _SCOPES.pop()
+        raise
+    folders = _SCOPES.pop()
     context = spark.sparkContext
-    if context._jsc is None or context._jsc.sc().isStopped():
-        return
-    path = context._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    for folder in folders:
+        if os.path.basename(folder) in needed:
+            if _SCOPES:
+                _SCOPES[-1].append(folder)
+        else:
+            _remove(context._jvm, context._jsc.hadoopConfiguration(), folder)
+
+
+def _read_folders(df: DataFrame) -> set[str]:
+    """Names of the folders whose files the plan of `df` reads."""
+    names, leaves = set(), df._jdf.queryExecution().analyzed().collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+            paths = leaf.relation().location().rootPaths()
+            names.update(paths.apply(k).getName() for k in range(paths.size()))
+    return names
+
+
+# Shuffle files of a finished write are deleted at once; a table that is stored needs them no longer.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -110,9 +163,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     This cuts the lineage, survives lost executors, and gives the optimizer the
     table's real size, so small dimensions are broadcast and large ones are not.
     """
-    path = scratch_dir(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # What stored_once wrote: key -> path and schema.
