@@ -28,12 +28,13 @@ from velolake.llm.shingles import LOWER_CODES, hashed_words
 from velolake.session import stored
 
 SUPPORT, LONGEST = 30, 4
-SHARDS = 6
+# Each shard is mined by half of all tasks, so few shards cost nothing and rule out the most.
+SHARDS = 2
 # A part of a longer phrase goes if the longer one has so many hundredths of its occurrences.
 ABSORBED = 80
 TOP = 2000
 # Bytes of text that a task counts together.
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 12 << 20
 # log2 of the bits of the filter (16 MB), and the bits that a phrase sets.
 FILTER_BITS, PROBES = 27, 4
 
@@ -48,36 +49,39 @@ _ODD = mixed(np.arange(101, 101 + PROBES, dtype=np.uint64)) | np.uint64(1)
 
 @dataclass
 class Words:
-    """Words of many texts of one language: hashes, numbers of their pieces, and the bytes from first to end of each."""
+    """Words of many texts of one language: hashes, whether the next is in the same piece, and where they are in the bytes."""
 
     hashes: np.ndarray
-    pieces: np.ndarray
+    linked: np.ndarray
     first: np.ndarray
-    end: np.ndarray
+    lengths: np.ndarray
     data: bytes
 
     @classmethod
     def of(cls, lang: str, parts: list[tuple[np.ndarray, np.ndarray]]) -> Words:
         """Of texts that stand one after the other, in parts of bytes and offsets."""
         own = np.uint64(xxhash.xxh64_intdigest(lang.encode()))
-        columns, at, piece = [], 0, 0
+        columns, at = [], 0
         for data, offsets in parts:
             hashes, first, lengths, counts = hashed_words(data, offsets, LOWER_CODES, _BETWEEN)
-            pieces = np.cumsum(_BREAK[data])[first] + np.repeat(np.arange(len(offsets) - 1), np.diff(counts)) + piece
-            columns.append((mixed(hashes ^ own), pieces, first + at, first + lengths + at))
-            at, piece = at + len(data), piece + len(data) + len(offsets)
+            # The number of breaks before a word; the end of a text is a break too.
+            pieces = np.cumsum(_BREAK[data])[first] + np.repeat(np.arange(len(counts) - 1), np.diff(counts))
+            columns.append((mixed(hashes ^ own), np.append(pieces[1:] == pieces[:-1], False)[:len(pieces)], first + at, lengths.astype(np.int32)))
+            at += len(data)
         return cls(*map(np.concatenate, zip(*columns, strict=True)), b"".join(data.tobytes() for data, _ in parts))
 
     def phrase(self, place: int, size: int) -> bytes:
-        return b" ".join(self.data[self.first[place]:self.end[place + size - 1]].translate(_LOWER).split())
+        return b" ".join(self.data[self.first[place]:self.first[place + size - 1] + self.lengths[place + size - 1]].translate(_LOWER).split())
 
     def keys(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash of the `size` words from each place on, and whether they are in one piece."""
         places = max(len(self.hashes) - size + 1, 0)
-        keys = np.full(places, size, np.uint64)
+        keys, inside = np.full(places, size, np.uint64), np.ones(places, bool)
         for k in range(size):
             keys += self.hashes[k:k + places] * _FACTORS[k]
-        return mixed(keys), self.pieces[:places] == self.pieces[size - 1:size - 1 + places]
+            if k:
+                inside &= self.linked[k - 1:k - 1 + places]
+        return mixed(keys), inside
 
 
 def language_words(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[str, Words]]:
