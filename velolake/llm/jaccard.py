@@ -9,11 +9,12 @@ Two relations between sets save work:
   and are never paired with one another. Of the pairs that remain, each set is first checked
   against the set that shares most with it, and pairs that then are in one component are done.
 * Index lists are skipped in blocks. A list whose classes are all of one component is left out
-  whole; the others are read by blocks of set size, and a pair in a block only if the positions of
-  the shingle in both sets leave room for the overlap they need.
+  whole; the others are read by blocks of set size. First the classes of a block are checked against
+  one of them, the one with the fewest rarer shingles, which closes most blocks. In those that stay
+  open a pair is made only if the shingle's positions in both sets leave room for the overlap that
+  they need: similar sets pass this at the first shingle of both prefixes that they share.
 
-What remains is counted per pair, bounded once more by the number of shared prefix shingles, and
-checked on the full sets, which are computed again from the texts that are needed.
+What remains is checked on the full sets, which are computed again from the texts that are needed.
 """
 
 from __future__ import annotations
@@ -27,10 +28,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velolake.llm.common import mixed, sent_if_small, text_chunks
+from velolake.llm.common import mixed, text_chunks
 from velolake.llm.graph import components
 from velolake.llm.shingles import shingle_sets
-from velolake.session import stored
+from velolake.session import scratch_scope, stored
 
 # 100 * overlap >= SIMILARITY * union.
 SIMILARITY = 80
@@ -42,11 +43,11 @@ TALLY_BYTES, LOCAL_REPEATS = 16 << 20, 4
 # The hash range is cut in 2 * MARKS parts; a mark is a hash of the least hashes of two of them.
 MARKS = 4
 # Rounds that check one pair of each set before all pairs that are still open.
-BEST_ROUNDS = 2
+BEST_ROUNDS = 1
 # Sets that are checked against one set at a time.
 GROUP = 256
-# Texts are found by a broadcast list of so many keys and targets at most (about 20 MB), by a shuffle beyond.
-LISTED_KEYS = 1 << 18
+# A task sends sets to where they are compared in batches of about so many bytes.
+SENT_BYTES = 16 << 20
 
 _SETS = "doc_id long, code long, n int, key long, key2 long, odd int, marks array<long>, prefix array<long>"
 _PARTS = np.arange(2 * MARKS, dtype=np.uint64) << np.uint64(65 - (2 * MARKS).bit_length())
@@ -146,19 +147,43 @@ def needed_overlap(a: Column, b: Column, similarity: int = SIMILARITY) -> Column
     return F.ceil((a + b) * similarity / F.lit(100 + similarity)).cast("long")
 
 
+def with_block(lists: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """`lists` with the block of the set's size; similar sets are in the same or neighbouring blocks."""
+    return lists.withColumn("block", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / similarity))).cast("long"))
+
+
+def room(similarity: int = SIMILARITY) -> Column:
+    """Whether the sets of a and b can be similar if the shingle is the first that their prefixes share."""
+    return F.least(F.col("size_a") - F.col("i"), F.col("size_b") - F.col("j")) >= needed_overlap(F.col("size_a"), F.col("size_b"), similarity)
+
+
+def reached_blocks(lists: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """Entries as token, a, ca, size_a, i and each block that holds sets they can be similar to."""
+    return with_block(lists, similarity).select("token", F.col("key").alias("a"), F.col("component").alias("ca"), F.col("n").alias("size_a"), F.col("position").alias("i"),
+                                                F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"))
+
+
+def list_leader_pairs(lists: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """Pairs a < b: the classes of each list with the one of a block in which the list's shingle comes first."""
+    order = F.struct("position", "key", "component", "n")
+    leaders = with_block(lists, similarity).groupBy("token", "block").agg(F.min(order).alias("leader"))
+    leaders = leaders.select("token", "block", F.col("leader.key").alias("b"), F.col("leader.component").alias("cb"), F.col("leader.n").alias("size_b"), F.col("leader.position").alias("j"))
+    led = reached_blocks(lists, similarity).join(stored(leaders, "list-leaders").hint("shuffle_hash"), ["token", "block"]).filter((F.col("ca") != F.col("cb")) & room(similarity))
+    return led.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def list_pairs(lists: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
-    """Pairs a < b of classes of different components that one list leaves possible, and their sizes.
+    """Pairs a < b of classes of different components that one list leaves possible."""
+    right = with_block(lists, similarity).select("token", F.col("key").alias("b"), F.col("component").alias("cb"), F.col("n").alias("size_b"), F.col("position").alias("j"), "block")
+    fits = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & room(similarity)
+    return reached_blocks(lists, similarity).join(right, ["token", "block"]).filter(fits).select("a", "b")
 
-    Lists are joined by blocks of set size; similar sets are in the same or neighbouring blocks.
-    """
-    block = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / similarity))).cast("long")
-    left = lists.select("token", F.col("key").alias("a"), F.col("component").alias("ca"), F.col("n").alias("size_a"), F.col("position").alias("i"),
-                        F.explode(F.array(block - 1, block, block + 1)).alias("block"))
-    right = lists.select("token", F.col("key").alias("b"), F.col("component").alias("cb"), F.col("n").alias("size_b"), F.col("position").alias("j"),
-                         block.alias("block"))
-    room = F.least("i", "j") + 1 + F.least(F.col("size_a") - F.col("i"), F.col("size_b") - F.col("j")) - 1
-    fits = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (room >= needed_overlap(F.col("size_a"), F.col("size_b"), similarity))
-    return left.join(right, ["token", "block"]).filter(fits).select("a", "b", "size_a", "size_b")
+
+def open_lists(lists: DataFrame, known: DataFrame) -> DataFrame:
+    """The lists (token, key, n, position) that hold several components, with the component of each entry; stored."""
+    lists = lists.join(known, F.col("key") == F.col("node"), "left").withColumn("component", F.coalesce("component", "key")).drop("node")
+    open_ = lists.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("token")
+    return stored(lists.join(stored(open_, "open-tokens").hint("shuffle_hash"), "token", "left_semi"), "open-lists")
 
 
 def check_pairs(texts: DataFrame, sets: DataFrame, pairs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
@@ -177,24 +202,34 @@ def check_pairs(texts: DataFrame, sets: DataFrame, pairs: DataFrame, similarity:
     wanted = wanted.groupBy("key").agg(F.collect_set("to").alias("to"))
     # One text of each class.
     owners = sets.filter("prefix IS NOT NULL").groupBy("key").agg(F.min(F.struct("doc_id", "code")).alias("at"))
-    wanted = stored(wanted.join(owners, "key").select("key", "to", "at.doc_id", "at.code"), "wanted")
-    wanted = sent_if_small(wanted, F.size("to") + 1, LISTED_KEYS)
+    wanted = stored(wanted.join(owners, "key").select("key", "to", "at.doc_id", "at.code"), "wanted").hint("shuffle_hash")
     found = texts.join(wanted.withColumnRenamed("doc_id", "_doc").withColumnRenamed("code", "_code"),
                        (F.col("code") == F.col("_code")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
 
+    def sent(rows: list[tuple]) -> pa.RecordBatch:
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["key", "b", "salt", "tokens"])
+
+    most = SENT_BYTES
+
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
         for batch in batches:
             keys, to, text = batch.column("key").to_pylist(), batch.column("to").to_pylist(), batch.column("text")
             for first, end, data, offsets in text_chunks(text):
-                rows = []
                 for i, tokens in zip(range(first, end), shingle_sets(data, offsets), strict=True):
                     half = int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()[:8], "little", signed=True)
-                    if half == keys[i]:
-                        packed = tokens.tobytes()
-                        rows += [(keys[i], t["b"], t["salt"], packed) for t in to[i]]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)],
-                                                     names=["key", "b", "salt", "tokens"])
+                    if half != keys[i]:
+                        continue
+                    packed = tokens.tobytes()
+                    for target in to[i]:
+                        rows.append((keys[i], target["b"], target["salt"], packed))
+                        size += len(packed) + 24
+                        if size >= most:
+                            yield sent(rows)
+                            rows, size = [], 0
+        if rows:
+            yield sent(rows)
 
     def compare(group: tuple, rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         held = dict(zip(rows["key"], rows["tokens"], strict=True))
@@ -220,7 +255,11 @@ def join_components(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     shingles and their own doc_id. Repeated rows have equal sets and are linked. Other columns are
     ignored; an empty table gives no rows.
     """
-    texts = _texts(docs)
+    with scratch_scope(docs.sparkSession) as keep:
+        return keep(_join_components(_texts(docs), similarity))
+
+
+def _join_components(texts: DataFrame, similarity: int) -> DataFrame:
     sets = with_prefixes(texts, common_shingles(texts), similarity)
     entries = sets.filter("prefix IS NOT NULL").select("key", "n", F.posexplode("prefix").alias("position", "token"))
     # A shuffled row of a list holds three numbers.
@@ -231,20 +270,16 @@ def join_components(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     leaders = leaders.filter("x < y").select("part", "mark", F.col("leader.key").alias("leader"))
     led = marked.join(leaders, ["part", "mark"]).filter("key <> leader").select(F.col("key").alias("a"), F.col("leader").alias("b")).distinct()
     links = check_pairs(texts, sets, led, similarity)
-    known = stored(components(links), "known")
     # Lists of more than one class, then of more than one component.
     shared = entries.groupBy("token").agg(F.min("key").alias("x"), F.max("key").alias("y")).filter("x < y").select("token")
     shared = stored(shared, "shared").hint("shuffle_hash")  # stored, so that the join can split a hot list
     lists = stored(entries.join(shared, "token", "left_semi"), "lists").dropDuplicates(["token", "key"])
     lists = lists.select("token", "key", F.shiftright("place", 32).alias("n"), F.col("place").bitwiseAND(0xFFFFFFFF).alias("position"))
-    lists = lists.join(known, F.col("key") == F.col("node"), "left").withColumn("component", F.coalesce("component", "key")).drop("node")
-    open_ = lists.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("token")
-    lists = stored(lists.join(open_, "token", "left_semi"), "open-lists")
-    counted = list_pairs(lists, similarity).groupBy("a", "b", "size_a", "size_b").agg(F.count(F.lit(1)).alias("shared"))
-    # Beyond the shared part of the prefix that ends first, at most the rest of that set overlaps.
-    rest = F.greatest(*(F.ceil(F.col(c) * similarity / 100) for c in ("size_a", "size_b"))) - 1
-    likely = counted.filter(F.col("shared") + rest >= needed_overlap(F.col("size_a"), F.col("size_b"), similarity))
-    open_pairs = stored(likely.select("a", "b", "shared"), "likely")
+    lists = open_lists(lists, components(links))
+    links = links.union(check_pairs(texts, sets, list_leader_pairs(lists, similarity), similarity))
+    reached = components(links)
+    lists = open_lists(lists.drop("component"), reached)
+    open_pairs = stored(list_pairs(lists, similarity).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")), "possible")
     # First the pair of each set that shares most: its answer joins components, which closes the pairs within them.
     for turn in range(BEST_ROUNDS + 1):
         chosen = open_pairs.select("a", "b")
@@ -254,7 +289,7 @@ def join_components(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
             chosen = best.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct()
         chosen = stored(chosen, "chosen")
         links = links.union(check_pairs(texts, sets, chosen, similarity))
-        reached = stored(components(links), "reached")
+        reached = components(links)
         if turn < BEST_ROUNDS:
             left, right = (reached.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in")) for c in ("a", "b"))
             still = open_pairs.join(chosen, ["a", "b"], "left_anti").join(left, "a", "left").join(right, "b", "left")
@@ -272,14 +307,17 @@ def join_components(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
 
 
 def first_of_components(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
-    """The rows of `docs` with the smallest doc_id of their component; all columns stay.
+    """The rows of `docs` with the smallest doc_id of their component; all columns stay, whatever their names.
 
-    Of rows that share a doc_id, one stays. Rows without doc_id cannot be told apart and stay.
+    Of rows that share a doc_id, one stays. Rows without doc_id cannot be told apart and stay. Null
+    and empty texts are linked with nothing; an empty table gives no rows.
     """
-    found = join_components(docs, similarity)
-    gone = stored(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    gone = sent_if_small(gone, F.lit(1), LISTED_KEYS)
-    kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    again = stored(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_again")), "again")
-    once = kept.join(again, F.col("doc_id") == F.col("_again"), "left_anti")
-    return once.unionByName(kept.join(again, F.col("doc_id") == F.col("_again"), "left_semi").dropDuplicates(["doc_id"]))
+    with scratch_scope(docs.sparkSession) as keep:
+        found = join_components(docs.select("doc_id", "text"), similarity)
+        gone = stored(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "gone").hint("shuffle_hash")
+        rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").cast("long").alias("id"))
+        kept = rows.join(gone, F.col("id") == F.col("gone"), "left_anti")
+        again = stored(rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 AND id IS NOT NULL").select(F.col("id").alias("again")), "again").hint("shuffle_hash")
+        once = kept.join(again, F.col("id") == F.col("again"), "left_anti")
+        firsts = kept.join(again, F.col("id") == F.col("again"), "left_semi").dropDuplicates(["id"])
+        return keep(once.unionByName(firsts).select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns)))
