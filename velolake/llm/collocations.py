@@ -12,8 +12,10 @@ counted in vain and falls below the support; none is lost.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,8 @@ ABSORBED = 80
 TOP = 2000
 # Bytes of text that a task counts together.
 CHUNK_BYTES = 12 << 20
+# Phrases that a task holds before it passes their counts on.
+TASK_PHRASES = 1 << 19
 # log2 of the bits of the filter (16 MB), and the bits that a phrase sets.
 FILTER_BITS, PROBES = 27, 4
 
@@ -163,9 +167,19 @@ def counted_phrases(texts: DataFrame, candidates: DataFrame) -> DataFrame:
     bits, most = sent_filter(candidates), CHUNK_BYTES
     schema = "lang string, size int, phrase binary, n long"
 
+    held_most = TASK_PHRASES
+
+    def sent(held: dict[tuple[str, int, bytes], int]) -> Iterator[pa.RecordBatch]:
+        rows = iter(held.items())
+        while part := list(islice(rows, 1 << 15)):
+            columns = [*zip(*(key for key, _ in part), strict=True), [n for _, n in part]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.binary(), pa.int64()), strict=True)],
+                                             names=[x.split()[0] for x in schema.split(", ")])
+
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, int, bytes], int] = Counter()
         for lang, words in language_words(batches, most):
-            out = [(0, b"", len(words.hashes))]
+            held[lang, 0, b""] += len(words.hashes)
             for size in range(1, LONGEST + 1):
                 places, keys = possible(words, size, bits.value, size)
                 _, first, inverse, counts = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
@@ -174,12 +188,14 @@ def counted_phrases(texts: DataFrame, candidates: DataFrame) -> DataFrame:
                 for k in range(size):
                     strange |= words.hashes[places + k] != words.hashes[places[first[inverse]] + k]
                 np.subtract.at(counts, inverse[strange], 1)
-                out += [(size, words.phrase(place, size), n) for place, n in zip(places[first].tolist(), counts.tolist(), strict=True)]
-                out += [(size, words.phrase(place, size), 1) for place in places[strange].tolist()]
-            for i in range(0, len(out), 1 << 15):
-                part = list(zip(*out[i:i + (1 << 15)], strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part[0]), pa.string()), pa.array(part[0], pa.int32()), pa.array(part[1], pa.binary()), pa.array(part[2], pa.int64())],
-                                                 names=[x.split()[0] for x in schema.split(", ")])
+                for place, n in zip(places[first].tolist(), counts.tolist(), strict=True):
+                    held[lang, size, words.phrase(place, size)] += n
+                for place in places[strange].tolist():
+                    held[lang, size, words.phrase(place, size)] += 1
+            if len(held) >= held_most:
+                yield from sent(held)
+                held = Counter()
+        yield from sent(held)
 
     counts = texts.mapInArrow(tally, schema).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
     counts = counts.filter((F.col("n") >= SUPPORT) | (F.col("size") == 0))
