@@ -14,7 +14,8 @@ Two relations between sets save work:
   open a pair is made only if the shingle's positions in both sets leave room for the overlap that
   they need: similar sets pass this at the first shingle of both prefixes that they share.
 
-What remains is checked on the full sets, which are computed again from the texts that are needed.
+What remains is bounded once more by all shingles that both prefixes share, and checked on the full
+sets, which are computed again from the texts that are needed.
 """
 
 from __future__ import annotations
@@ -186,6 +187,18 @@ def open_lists(lists: DataFrame, known: DataFrame) -> DataFrame:
     return stored(lists.join(stored(open_, "open-tokens").hint("shuffle_hash"), "token", "left_semi"), "open-lists")
 
 
+def likely_pairs(pairs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """Those pairs (a, b) that can be similar by all shingles of their prefixes, with their number in common; stored."""
+    pairs = stored(pairs.distinct(), "listed-pairs")
+    asked = stored(pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct(), "listed-keys").hint("shuffle_hash")
+    prefixes = stored(sets.filter("prefix IS NOT NULL").select("key", "n", "prefix").join(asked, "key", "left_semi").dropDuplicates(["key"]), "listed-prefixes")
+    left, right = (prefixes.select(F.col("key").alias(c), F.col("n").cast("long").alias(f"size_{c}"), F.col("prefix").alias(f"prefix_{c}")) for c in ("a", "b"))
+    both = pairs.join(left, "a").join(right, "b").withColumn("shared", F.size(F.array_intersect("prefix_a", "prefix_b")).cast("long"))
+    # Beyond the shared part of the prefix that ends first, at most the rest of that set overlaps.
+    rest = F.greatest(*(F.ceil(F.col(c) * similarity / 100) for c in ("size_a", "size_b"))) - 1
+    return stored(both.filter(F.col("shared") + rest >= needed_overlap(F.col("size_a"), F.col("size_b"), similarity)).select("a", "b", "shared"), "likely")
+
+
 def check_pairs(texts: DataFrame, sets: DataFrame, pairs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """Those pairs (a, b) of class keys whose sets are similar, by their full sets.
 
@@ -276,10 +289,10 @@ def _join_components(texts: DataFrame, similarity: int) -> DataFrame:
     lists = stored(entries.join(shared, "token", "left_semi"), "lists").dropDuplicates(["token", "key"])
     lists = lists.select("token", "key", F.shiftright("place", 32).alias("n"), F.col("place").bitwiseAND(0xFFFFFFFF).alias("position"))
     lists = open_lists(lists, components(links))
-    links = links.union(check_pairs(texts, sets, list_leader_pairs(lists, similarity), similarity))
+    links = links.union(check_pairs(texts, sets, likely_pairs(list_leader_pairs(lists, similarity), sets, similarity).select("a", "b"), similarity))
     reached = components(links)
     lists = open_lists(lists.drop("component"), reached)
-    open_pairs = stored(list_pairs(lists, similarity).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")), "possible")
+    open_pairs = likely_pairs(list_pairs(lists, similarity), sets, similarity)
     # First the pair of each set that shares most: its answer joins components, which closes the pairs within them.
     for turn in range(BEST_ROUNDS + 1):
         chosen = open_pairs.select("a", "b")
