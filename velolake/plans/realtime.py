@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from velolake.operators import marts, quality, staging, status
 from velolake.plans.batch import AUDIT_TABLE
-from velolake.schemas import DEAD_LETTERS
+from velolake.schemas import DEAD_LETTERS, RAW_STATION_STATUS
 from velolake.session import stored, use_library_settings
 from velolake.sources.tables import Layers
+from velolake.streaming.ledger import committed
 
 
 @dataclass
@@ -40,7 +41,7 @@ class RealtimeRefresh:
 
     def raw(self) -> DataFrame:
         """The raw snapshots to check."""
-        return self._recent(self.layers.read("raw", "station_status"))
+        return self._recent(self._arrived())
 
     def staged(self) -> DataFrame:
         return staging.stage_station_status(self.raw())
@@ -50,7 +51,7 @@ class RealtimeRefresh:
 
     def loadable(self) -> DataFrame:
         """Clean snapshots of any age."""
-        return status.clean_station_status(staging.stage_station_status(self.layers.read("raw", "station_status")))
+        return status.clean_station_status(staging.stage_station_status(self._arrived()))
 
     def check_raw(self) -> int:
         """Raises when the feed is empty, faulty or stale."""
@@ -58,7 +59,7 @@ class RealtimeRefresh:
 
     def check_dead_letters(self) -> str:
         """PASS or WARN, kept as an audit row; no table means no dead letters."""
-        letters = self.layers.read_or_empty("raw", "station_status_dlq", DEAD_LETTERS)
+        letters = committed(self.layers, "station_status_dlq", DEAD_LETTERS)
         recent = quality.recent_dead_letters(letters, self.now)
         checked = recent.select(
             F.lit("STREAMING_RAW").alias("layer"),
@@ -113,6 +114,9 @@ class RealtimeRefresh:
         self._gate("STREAMING_ANALYTICS", quality.check_station_live(self.layers.read("mart", "mart_station_live")))
         return rows
 
+    def _arrived(self) -> DataFrame:
+        return committed(self.layers, "station_status", RAW_STATION_STATUS)
+
     def _recent(self, status_rows: DataFrame) -> DataFrame:
         return status.newer_than(status_rows, self.now - self.window) if self.window else status_rows
 

@@ -572,6 +572,13 @@ SELECTS: dict[str, str] = {
         FROM (VALUES (1), (2), (3)) AS loads(load)
         UNION ALL SELECT 'mart_station_live_' || load, (SELECT count(DISTINCT station_id) FROM known_events
             WHERE snapshot_timestamp < TIMESTAMP '2024-01-15' OR load > 1) FROM (VALUES (1), (2), (3)) AS loads(load)""",
+    "stream_to_raw": """SELECT CASE WHEN error_reason IS NULL THEN 'station_status' ELSE 'station_status_dlq' END AS table_name,
+            coalesce(error_reason, 'valid') AS outcome, count(*) AS events,
+            CAST(sum(count(*)) OVER (PARTITION BY error_reason IS NULL) AS BIGINT) AS ledger_rows
+        FROM event_outcomes GROUP BY error_reason""",
+    "realtime_from_stream": """SELECT 'fact_station_status' AS table_name, count(*) AS rows FROM known_events
+        UNION ALL SELECT 'mart_station_live', count(DISTINCT station_id) FROM known_events
+        UNION ALL SELECT 'dead letters ' || CASE WHEN count(*) > 100 THEN 'WARN' ELSE 'PASS' END, count(*) FROM event_outcomes WHERE error_reason IS NOT NULL""",
     "stream_status_fact": """SELECT snapshot_date, count(*) AS snapshots,
         CAST(sum(available_capacity) AS BIGINT) AS available_capacity FROM fact_station_status GROUP BY ALL""",
 }

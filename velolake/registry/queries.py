@@ -14,10 +14,10 @@ from velolake.operators import dashboard, marts, quality, stations, status, trip
 from velolake.plans.batch import AUDIT_TABLE, BatchRun
 from velolake.plans.realtime import RealtimeRefresh
 from velolake.registry.sample import Sample
-from velolake.schemas import RAW_STATION_STATUS, RAW_TRIPS
+from velolake.schemas import DEAD_LETTERS, RAW_STATION_STATUS, RAW_TRIPS
 from velolake.session import scratch_dir, stored
 from velolake.sources import samples, station_feed, streams, tables, trip_files
-from velolake.streaming import events, publish
+from velolake.streaming import events, ledger, publish
 from velolake.streaming import queries as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -846,6 +846,40 @@ def daily_batch(s: Sample) -> DataFrame:
     return _written(s, [*written.items(), (AUDIT_TABLE, passed)])
 
 
+def _streamed_to_raw(s: Sample, layers: tables.Layers) -> None:
+    """All event texts through the stream into the raw layer, in several batches."""
+    checkpoint = scratch_dir(s.spark, "to_raw")
+    path = _message_folder(s)
+    for _ in range(2):  # the second start finds nothing new
+        messages = streams.message_files(s.spark, path, files_per_batch=4)
+        ledger.stream_to_raw(messages, layers, checkpoint, period=None).awaitTermination()
+
+
+@query("stream_to_raw")
+def stream_to_raw(s: Sample) -> DataFrame:
+    """Events per raw table and outcome after the exactly-once stream, with the rows that its ledger counted."""
+    layers = _layers(s)
+    _streamed_to_raw(s, layers)
+    valid = ledger.committed(layers, "station_status", RAW_STATION_STATUS).select(F.lit("station_status").alias("sink"), F.lit("valid").alias("outcome"))
+    dead = ledger.committed(layers, "station_status_dlq", DEAD_LETTERS).select(F.lit("station_status_dlq").alias("sink"), F.col("error_reason").alias("outcome"))
+    counted = ledger.status_ledger(layers).entries().groupBy("sink").agg(F.sum("rows").alias("ledger_rows"))
+    return valid.unionByName(dead).groupBy("sink", "outcome").agg(_rows().alias("events")).join(counted, "sink").select(F.col("sink").alias("table_name"), "outcome", "events", "ledger_rows")
+
+
+@query("realtime_from_stream")
+def realtime_from_stream(s: Sample) -> DataFrame:
+    """A refresh over what the stream wrote from all event texts: rows per table, and the audit row of the dead letters."""
+    layers = _layers(s, "fact_station_status")
+    layers.refresh(s.dim_station, "mart", "dim_station")
+    _streamed_to_raw(s, layers)
+    newest = layers.read("raw", "station_status").agg(F.max(F.unix_micros("snapshot_timestamp"))).first()[0]
+    now = status.EPOCH + timedelta(microseconds=newest) + timedelta(minutes=1)
+    written = RealtimeRefresh(layers, now, "from-stream").run()
+    audited = layers.read("audit", AUDIT_TABLE).where("check_name = 'recent_dead_letters'").select(
+        F.concat(F.lit("dead letters "), "status").alias("table_name"), F.col("actual_value").cast("bigint").alias("rows"))
+    return _written(s, list(written.items())).unionByName(audited)
+
+
 @query("realtime_refresh")
 def realtime_refresh(s: Sample) -> DataFrame:
     """Three refreshes over valid events: the first days, the rest by update, and nothing new."""
