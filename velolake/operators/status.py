@@ -115,6 +115,25 @@ def first_of_each(fact: DataFrame) -> DataFrame:
     return kept.select(*STATUS_KEY, "kept.*").select(*fact.columns)
 
 
+def newest_of_each(fact: DataFrame) -> DataFrame:
+    """One row per (station, snapshot): the one ingested last, of several the largest by the other columns."""
+    rest = [name for name in fact.columns if name not in (*STATUS_KEY, "_ingested_at")]
+    kept = fact.groupBy(*STATUS_KEY).agg(F.max(F.struct("_ingested_at", *rest)).alias("kept"))
+    return kept.select(*STATUS_KEY, "kept.*").select(*fact.columns)
+
+
+def corrections(status: DataFrame, stations: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Fact rows to merge into `loaded`: what was ingested since its newest row, new, late or corrected.
+
+    Rows ingested at the very instant of the newest one are taken again; merging them twice
+    changes nothing.
+    """
+    newest = loaded.agg(F.max(F.unix_micros("_ingested_at"))).first()[0]
+    since = EPOCH if newest is None else _instant(newest)
+    arrived = status.where(F.col("_ingested_at") >= F.lit(since))
+    return newest_of_each(fact_station_status(arrived, stations))
+
+
 def late_rows(status: DataFrame, stations: DataFrame, loaded: DataFrame, newest_day: date | None = None) -> DataFrame:
     """Fact rows that the watermark load ignores although they were never loaded; reads their days only."""
     candidates = fact_station_status(status, stations)

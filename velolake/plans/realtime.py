@@ -73,8 +73,16 @@ class RealtimeRefresh:
         return self._gate("STREAMING_RAW", checked)[0].status
 
     def load_fact(self, mode: str = "watermark") -> int:
-        """Append new snapshots to the status fact; returns the rows added."""
+        """Bring the status fact up to date; returns the rows added or replaced.
+
+        "watermark" and "by_key" append, see status.increment. "merge" takes everything ingested
+        since the last load and replaces loaded snapshots of the same station and instant.
+        """
         stations = self.layers.read("mart", "dim_station")
+        if mode == "merge":
+            empty = status.fact_station_status(self.loadable(), stations).schema
+            new = status.corrections(self.loadable(), stations, self.layers.read_or_empty("mart", "fact_station_status", empty))
+            return self.layers.merge(new, "mart", "fact_station_status", status.STATUS_KEY)
         if not self.layers.exists("mart", "fact_station_status"):
             return self.layers.append(status.fact_station_status(self.loadable(), stations), "mart", "fact_station_status")
         loaded, newest_day = self._loaded()

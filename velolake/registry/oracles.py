@@ -398,6 +398,9 @@ SELECTS: dict[str, str] = {
     "fact_station_status_incremental": f"""SELECT CAST(CASE WHEN {FIRST_DAYS} THEN 1 ELSE 2 END AS BIGINT) AS load,
         snapshot_date, count(*) AS snapshots, CAST(sum(available_capacity) AS BIGINT) AS available_capacity
         FROM fact_station_status GROUP BY ALL""",
+    "fact_station_status_merge": f"""SELECT snapshot_date, count(*) AS snapshots,
+        CAST(sum(available_capacity + CASE WHEN {FIRST_DAYS} AND is_renting THEN 1 ELSE 0 END) AS BIGINT) AS available_capacity
+        FROM fact_station_status GROUP BY ALL""",
     "late_rows_dropped": f"""SELECT snapshot_date, count(*) AS late_rows FROM fact_station_status
         WHERE {LATE} GROUP BY ALL""",
     "late_rows_by_key": f"""SELECT snapshot_date, count(*) AS added_rows FROM fact_station_status

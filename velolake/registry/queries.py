@@ -363,6 +363,21 @@ def fact_station_status_incremental(s: Sample) -> DataFrame:
     )
 
 
+@query("fact_station_status_merge")
+def fact_station_status_merge(s: Sample) -> DataFrame:
+    """The first days are loaded; all later snapshots and corrections of the renting ones are merged in."""
+    layers = _layers(s, "fact_station_status")
+    first = F.col("snapshot_timestamp") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp")
+    layers.refresh(s.fact_station_status.where(first), "mart", "fact_station_status")
+    corrected = (F.col("available_capacity") + F.when(first, 1).otherwise(0)).alias("available_capacity")
+    again = s.fact_station_status.where(~first | F.col("is_renting"))
+    changes = again.select(*(corrected if c == "available_capacity" else c for c in again.columns))
+    layers.merge(status.newest_of_each(changes), "mart", "fact_station_status", status.STATUS_KEY)
+    return layers.read("mart", "fact_station_status").groupBy("snapshot_date").agg(
+        _rows().alias("snapshots"), F.sum("available_capacity").alias("available_capacity")
+    )
+
+
 def _late_sample(s: Sample) -> DataFrame:
     """A first load that lacks its "view" snapshots, which arrive late."""
     path = scratch_dir(s.spark, "status_loads")
