@@ -1,10 +1,12 @@
-"""Exact deduplication by radix tries that partitions of equal length and content hash own.
+"""Exact deduplication by radix tries that partitions of like length and content hash own.
 
 Texts are equal when they are identical without white space. A first pass collapses the copies
-within a batch of rows; each batch then sends one copy of a text, with its best row and its count,
-to the owner of the text's length and content hash. The owner inserts the full byte strings into a
-compressed radix trie, whose terminal nodes keep the best row of all. Rows reach the owner sorted
-by length and hash, so one subtree is held at a time and given out when the next begins.
+within a batch of rows in tries of its own; each batch then sends one copy of a text, with its best
+row and its count, to the owner of the text's length class and leading bits of its content hash. An
+owner holds many texts: it inserts their full byte strings into one compressed radix trie, whose
+terminal nodes keep the best row of all. Rows reach it in the order of their bytes, so whatever lies
+left of the path of the last text is finished: when the edges pass HELD_BYTES, these subtrees are
+given out whole, and only the path stays. The rows themselves wait in Spark's sort, which spills.
 """
 
 from __future__ import annotations
@@ -17,8 +19,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from velolake.llm.common import bucket_bits
 from velolake.session import stored
 
+# Bytes on the edges of a trie, beyond which its finished subtrees are given out.
+HELD_BYTES = 64 << 20
+
 SPACE_BYTES = b" \t\n\x0b\x0c\r"
 
 _LOCAL = "_row long, doc_id long, rep long, norm binary, length long, key long, chars long, best_id long, best_row long, n long"
@@ -65,6 +71,30 @@ def insert(root: Node, text: bytes) -> Node:
     return node
 
 
+def terminals(node: Node) -> Iterator[Node]:
+    """The terminal nodes at and below `node`."""
+    waiting = [node]
+    while waiting:
+        node = waiting.pop()
+        if node.value is not None:
+            yield node
+        waiting.extend(node.children.values())
+
+
+def spilled(root: Node, text: bytes) -> Iterator[Node]:
+    """Cut off the subtrees beside the path of `text`; their terminal nodes."""
+    node, at = root, 0
+    while node.children:
+        path = node.children.pop(text[at], None) if at < len(text) else None
+        beside, node.children = node.children, {}
+        for child in beside.values():
+            yield from terminals(child)
+        if path is None:
+            return
+        node.children[text[at]] = path
+        node, at = path, at + len(path.label)
+
+
 def better(row: tuple, best: tuple | None) -> bool:
     """Whether a row (code points, doc_id, row) is kept before `best`: longest, smallest doc_id, first row."""
     def rank(x: tuple) -> tuple:
@@ -81,13 +111,13 @@ def collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([(n, pa.binary() if n == "norm" else pa.int64()) for n in (x.split()[0] for x in _LOCAL.split(", "))])
     row = TaskContext.get().partitionId() << 33
     for batch in batches:
-        tries: dict[tuple[int, int], Node] = {}
+        tries: dict[int, Node] = {}
         rows, first = [], {}
         texts = batch.column("text").cast(pa.large_binary())
         for doc_id, text, chars in zip(batch.column("doc_id").to_pylist(), texts, batch.column("chars").to_pylist(), strict=True):
             norm = (text.as_py() or b"").translate(None, SPACE_BYTES)
             key = (len(norm), content_key(norm))
-            node = insert(tries.setdefault(key, Node()), norm)
+            node = insert(tries.setdefault(len(norm).bit_length(), Node()), norm)
             mine = (chars, doc_id, row)
             if node.value is None:
                 node.value = [row, mine, 0]
@@ -109,37 +139,42 @@ def collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The best row and the count of each text, for rows sorted by length and key."""
+    """The best row and the count of each text, for rows sorted by owner and text."""
     schema = pa.schema([("rep", pa.int64()), ("keep_id", pa.int64()), ("keep_row", pa.int64()), ("group_size", pa.int64()), ("text_sha256", pa.string())])
 
-    def given(members: dict[int, tuple[list[int], list, str]]) -> Iterator[tuple]:
-        for reps, (best, count), sha in members.values():
+    def given(nodes: Iterator[Node]) -> Iterator[tuple]:
+        for node in nodes:
+            best, count, reps, sha = node.value
             for rep in reps:
                 yield rep, best[1], best[2], count, sha
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
-    subtree, members, held, ready = Node(), {}, None, []
+    trie, owner, held, ready = Node(), None, 0, []
     for batch in batches:
-        columns = [batch.column(n).to_pylist() for n in ("length", "key", "norm", "rep", "chars", "best_id", "best_row", "n")]
-        for length, key, norm, rep, chars, best_id, best_row, n in zip(*columns, strict=True):
-            if held != (length, key):
-                ready.extend(given(members))
-                subtree, members, held = Node(), {}, (length, key)
-            node = insert(subtree, norm)
-            mine = (chars, best_id, best_row)
+        texts = batch.column("norm")
+        columns = [batch.column(n).to_pylist() for n in ("owner", "rep", "chars", "best_id", "best_row", "n")]
+        for text, its_owner, rep, chars, best_id, best_row, n in zip(texts, *columns, strict=True):
+            if owner != its_owner:
+                ready.extend(given(terminals(trie)))
+                trie, owner, held = Node(), its_owner, 0
+            norm, mine = text.as_py(), (chars, best_id, best_row)
+            node = insert(trie, norm)
             if node.value is None:
-                node.value = [mine, 0]
-                members[id(node)] = ([], node.value, hashlib.sha256(norm).hexdigest())
+                node.value = [mine, 0, [], hashlib.sha256(norm).hexdigest()]
+                held += len(node.label)
             node.value[1] += n
             if better(mine, node.value[0]):
                 node.value[0] = mine
-            members[id(node)][0].append(rep)
-        if len(ready) >= 4096:
-            yield batch_of(ready)
-            ready = []
-    ready.extend(given(members))
+            node.value[2].append(rep)
+            if held > HELD_BYTES:
+                ready.extend(given(spilled(trie, norm)))
+                held = len(norm)
+        while len(ready) >= 4096:
+            yield batch_of(ready[:4096])
+            ready = ready[4096:]
+    ready.extend(given(terminals(trie)))
     if ready:
         yield batch_of(ready)
 
@@ -155,8 +190,12 @@ def dedup(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = texts.withColumn("chars", F.coalesce(F.length("text"), F.lit(0)).cast("long"))
     rows = stored(texts.mapInArrow(collapse, _LOCAL), "exact-local")
-    copies = rows.filter("norm IS NOT NULL").select("length", "key", "norm", "rep", "chars", "best_id", "best_row", "n")
-    owned = copies.repartition("length", "key").sortWithinPartitions("length", "key").mapInArrow(own, _OWNED)
+    copies = rows.filter("n IS NOT NULL")
+    bits = bucket_bits(copies.count())
+    length_class = F.length(F.bin("length")).cast("long")
+    owner = F.shiftleft(length_class, bits).bitwiseOR(F.pmod("key", F.lit(1 << bits)))
+    copies = copies.select(owner.alias("owner"), "norm", "rep", "chars", "best_id", "best_row", "n")
+    owned = copies.repartition("owner").sortWithinPartitions("owner", "norm").mapInArrow(own, _OWNED)
     return rows.select("_row", "doc_id", "rep").join(owned, "rep").select(
         "doc_id", "keep_id", "group_size", (F.col("_row") == F.col("keep_row")).alias("kept"), "text_sha256")
 
