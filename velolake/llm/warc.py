@@ -263,7 +263,8 @@ def package_ranges(packages: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out]), pa.array([x[1] for x in out], pa.int64()),
                                                       pa.array([x[2] for x in out], pa.list_(pa.int64()))], names=["path", "start", "lengths"])
 
-    return packages.select("path").mapInArrow(ranges, "path string, start long, lengths array<long>")
+    count = packages.agg(F.count(F.lit(1))).first()[0]  # the list is small, what it names is not
+    return packages.select("path").repartition(max(count, 1), "path").mapInArrow(ranges, "path string, start long, lengths array<long>")
 
 
 def read_packages(packages: DataFrame, payloads: bool = True) -> DataFrame:
@@ -286,8 +287,9 @@ def read_packages(packages: DataFrame, payloads: bool = True) -> DataFrame:
                     at += length
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
-    ranges = package_ranges(packages)
-    return ranges.repartition("path", "start").mapInArrow(read, _RECORDS)
+    # A number of tasks by what is to be read: the rows that are dealt are tiny and would be coalesced by their own size.
+    tasks = -(-(packages.agg(F.sum("bytes")).first()[0] or 0) // RANGE_BYTES)
+    return package_ranges(packages).repartition(max(tasks, 1), "path", "start").mapInArrow(read, _RECORDS)
 
 
 def archive_digest(spark: SparkSession, pages: DataFrame) -> DataFrame:
