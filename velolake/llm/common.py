@@ -51,11 +51,6 @@ def running_total(df: DataFrame, name: str, value: Column, *order: Column) -> Da
     return rows.join(parts, "_part").withColumn(name, total).drop("_part", "_at", "_before")
 
 
-def sent_if_small(df: DataFrame, size: Column, most: int) -> DataFrame:
-    """Stored `df`, marked for broadcast if the sum of `size` over its rows is at most `most`; else as it is."""
-    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= most else df
-
-
 def bucket_bits(rows: int, per_bucket: int = BUCKET_ROWS) -> int:
     """Leading bits of a hash that leave about `per_bucket` rows to a bucket."""
     return max(1, (max(rows, 1) // per_bucket).bit_length())

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from velolake.llm.common import BUCKET_ROWS, SPACE, bucket_bits, running_total, sent_if_small, with_row, word_count
+from velolake.llm.common import BUCKET_ROWS, SPACE, bucket_bits, running_total, with_row, word_count
 from velolake.session import stored
 
 # Words of a block.
@@ -20,8 +20,6 @@ BLOCK_WORDS = 4096
 MOST_REPEATS = 3
 # Other seeds give other shuffles.
 SEED = 42
-# Uses of documents up to so many are sent to all tasks (about 10 MB), more are joined by shuffle.
-LISTED = 1 << 18
 
 
 def sized_documents(docs: DataFrame) -> DataFrame:
@@ -146,17 +144,24 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents of the mix, with the columns of `docs`: a row for each time that a document is taken.
 
     Where the mix ends within a document, that row has the words up to there, and n_chars to match.
+    All columns stay, whatever their names. Documents of null or blank text have no words and are not
+    taken; repeated rows are documents of their own; a null source is one too, after all others; an
+    empty table gives no rows.
     """
-    rows = with_row(docs, "mix-documents")
-    sized = rows.select("_row", F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    rows = with_row(packed, "mix-documents")
+    sized = rows.select("_row", F.col("row.doc_id").cast("long").alias("doc_id"), F.col("row.source").cast("string").alias("source"),
+                        word_count(F.col("row.text")).alias("size"))
     sized = stored(sized, "sized")
     uses = mix(sized, stored(source_targets(sized), "targets")).groupBy("_row", "epoch").agg(F.sum("words").alias("words"))
-    uses = stored(uses.groupBy(F.col("_row").alias("_used")).agg(F.collect_list("words").alias("_uses")), "uses")
-    uses = sent_if_small(uses, F.size("_uses"), LISTED)
-    taken = rows.join(uses, F.col("_row") == F.col("_used")).withColumn("_words", F.explode("_uses"))
-    words = F.regexp_extract_all("text", F.lit(f"[{SPACE}]*[^{SPACE}]+"), F.lit(0))
-    part = F.when(F.col("_words") < word_count(F.col("text")), F.array_join(F.slice(words, F.lit(1), F.col("_words").cast("int")), ""))
-    out = taken.withColumn("_part", part)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.coalesce(F.length("_part"), F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.withColumn("text", F.coalesce("_part", "text")).select(docs.columns)
+    uses = stored(uses.groupBy(F.col("_row").alias("used")).agg(F.collect_list("words").alias("uses")), "uses").hint("shuffle_hash")
+    taken = rows.join(uses, F.col("_row") == F.col("used")).select("row", F.explode("uses").alias("words"))
+    text = F.col("row.text").cast("string")
+    words = F.regexp_extract_all(text, F.lit(f"[{SPACE}]*[^{SPACE}]+"), F.lit(0))
+    part = F.when(F.col("words") < word_count(text), F.array_join(F.slice(words, F.lit(1), F.col("words").cast("int")), ""))
+    taken = taken.select("row", part.alias("part"))
+    columns = {c: F.col(f"row.`{c}`") for c in docs.columns}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.coalesce(F.length("part"), columns["n_chars"]).cast(docs.schema["n_chars"].dataType)
+    columns["text"] = F.coalesce("part", columns["text"])
+    return taken.select(*(value.alias(name) for name, value in columns.items()))

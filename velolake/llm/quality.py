@@ -224,8 +224,13 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of `docs` that the classifier accepts; all columns stay."""
-    model = train(with_features(docs.join(labels.select(F.col("doc_id").alias("_labelled")).distinct(), F.col("doc_id") == F.col("_labelled"), "left_semi")), labels)
+    """The rows of `docs` that the classifier accepts; all columns stay, whatever their names.
+
+    Null and empty texts have all features 0 and are judged by them. Repeated rows are judged alike;
+    an empty table gives no rows.
+    """
+    texts = docs.select("doc_id", "text")
+    model = train(with_features(texts.join(labels.select(F.col("doc_id").alias("_labelled")).distinct(), F.col("doc_id") == F.col("_labelled"), "left_semi")), labels)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
