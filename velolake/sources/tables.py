@@ -6,6 +6,7 @@ commit of a refresh, so readers never meet an absent or half-written table.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -129,15 +130,16 @@ class Layers:
 
     def _replace(self, df: DataFrame, layer: str, table: str) -> int:
         current, name = self.version(layer, table), self.name(layer, table)
-        number = int(current.rsplit("_", 2)[1]) + 1 if current else 1
+        number = int(current.rsplit("_", 2)[-2]) + 1 if current else 1
         new = f"{table}__{number:06d}_{uuid.uuid4().hex[:8]}"
         rows = self._write(df, self.name(layer, new), table, "errorifexists")
         if current is None and self.exists(layer, table):  # a table that this class did not write
             self.spark.sql(f"DROP TABLE {name}")
         self.spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{VERSION}' = '{new}') AS SELECT * FROM {self.name(layer, new)}")
-        versions = sorted(row.tableName for row in self.spark.sql(f"SHOW TABLES IN {self.prefix}_{layer} LIKE '{table}__*_*'").collect())
-        for old in versions:
-            if old != new and number - int(old.rsplit("_", 2)[1]) > self.kept_versions or old.startswith(f"{table}__{number:06d}") and old != new:
+        shown = self.spark.sql(f"SHOW TABLES IN {self.prefix}_{layer} LIKE '{table}__*_*'").collect()
+        numbers = {row.tableName: re.fullmatch(rf"{re.escape(table)}__(\d+)_[0-9a-f]{{8}}", row.tableName) for row in shown}
+        for old, found in numbers.items():
+            if found and old != new and not 0 < number - int(found[1]) <= self.kept_versions:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, old)}")
         return rows
 
