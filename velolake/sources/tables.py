@@ -22,7 +22,7 @@ from velolake.session import _read_folders, stored
 
 LAYERS = ("raw", "staging", "intermediate", "mart", "audit")
 
-# The property of a view that names the version it shows.
+# The property of a view that tells the version it shows: the end of its name, as Spark hides values with "url" in them ("hourly").
 VERSION = "velolake.version"
 
 # Tables that are split by day, and by which column.
@@ -123,7 +123,7 @@ class Layers:
         if not self.exists(layer, table):
             return None
         shown = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(layer, table)}").where(F.col("key") == VERSION).collect()
-        return shown[0].value if shown else None
+        return f"{table}__{shown[0].value}" if shown else None
 
     def _name_of_version(self, layer: str, table: str) -> str:
         return self.name(layer, self.version(layer, table) or table)
@@ -135,7 +135,7 @@ class Layers:
         rows = self._write(df, self.name(layer, new), table, "errorifexists")
         if current is None and self.exists(layer, table):  # a table that this class did not write
             self.spark.sql(f"DROP TABLE {name}")
-        self.spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{VERSION}' = '{new}') AS SELECT * FROM {self.name(layer, new)}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{VERSION}' = '{new.removeprefix(f'{table}__')}') AS SELECT * FROM {self.name(layer, new)}")
         shown = self.spark.sql(f"SHOW TABLES IN {self.prefix}_{layer} LIKE '{table}__*_*'").collect()
         numbers = {row.tableName: re.fullmatch(rf"{re.escape(table)}__(\d+)_[0-9a-f]{{8}}", row.tableName) for row in shown}
         for old, found in numbers.items():
