@@ -10,7 +10,7 @@ from tests.test_stations_and_marts import INFO
 from tests.test_status import NOON, at
 from tests.test_status import raw as raw_status
 from velolake.operators import quality
-from velolake.plans.batch import AUDIT_TABLE, BatchRun
+from velolake.plans.batch import AUDIT_TABLE, TESTS_TABLE, BatchRun
 from velolake.plans.realtime import RealtimeRefresh
 from velolake.schemas import DEAD_LETTERS, RAW_STATION_INFORMATION
 
@@ -141,3 +141,52 @@ def test_many_dead_letters_warn_and_do_not_stop(spark, built):
     assert refresh(built, 1)["fact_station_status"] == 1
     row = audit(built).where("check_name = 'recent_dead_letters' AND run_id = 'run-1'").first()
     assert (row.status, row.actual_value, row.expected_value) == ("WARN", "101", "<= 100")
+
+
+def schema_tests(layers):
+    return layers.read("audit", TESTS_TABLE)
+
+
+def test_batch_publishes_its_layers_and_runs_the_schema_tests(spark, layers):
+    run = BatchRun(layers, "r")
+    run.run(raw(spark, *TRIPS, {"ride_id": "x", "start_lat": "95"}), information(spark))
+    assert run.published == {"stg_trips": 7, "stg_station_information": 2, "int_trips_clean": 6, "int_trips_invalid": 1,
+                             "int_station_information_clean": 2}
+    assert [r.invalid_reason for r in layers.read("intermediate", "int_trips_invalid").collect()] == ["invalid coordinates"]
+    tested = schema_tests(layers)
+    # not null 3 + 6 + 6 + 13, unique 3 + 3 + 1, relationships 5, accepted values 2 + 2, no negative metric 1
+    assert tested.count() == 45 and tested.where("status <> 'PASS' OR violations <> 0").count() == 0
+    assert {r.layer for r in tested.collect()} == {"STAGING", "INTERMEDIATE", "WAREHOUSE", "ANALYTICS"}
+
+
+def test_failures_can_be_recorded_and_the_run_goes_on(spark, layers):
+    trips = raw(spark, *TRIPS, {"ride_id": "r1"}, {"ride_id": None}, {"ride_id": "lost", "member_casual": None})
+    run = BatchRun(layers, "r", on_failure="record")
+    assert run.run(trips, information(spark))["fact_trips"] == 7
+    failed = {(r.table_name, r.check_name) for r in audit(layers).where("status = 'FAIL'").collect()}
+    assert failed == {("stg_trips", "ride_id_not_null"), ("stg_trips", "ride_id_unique"), ("int_trips_clean", "ride_id_unique"),
+                      ("int_trips_clean", "clean_invalid_reconciliation"), ("fact_trips", "ride_id_unique")}
+    violated = {(r.test_name, r.table_name, r.column_name): r.violations for r in schema_tests(layers).where("status = 'FAIL'").collect()}
+    assert violated == {("not_null", "stg_trips", "ride_id"): 1, ("not_null", "int_trips_invalid", "ride_id"): 1,
+                        **{("unique", name, "ride_id"): 1 for name in ("stg_trips", "int_trips_clean", "fact_trips")}}
+    with pytest.raises(ValueError, match="on_failure"):
+        BatchRun(layers, "r", on_failure="ignore")
+
+
+def test_schema_tests_stop_the_run_and_keep_their_results(spark, layers):
+    fact = spark.sql("SELECT 'r' AS ride_id, DATE'2026-01-01' AS date_key, 'a' AS start_station_key, 'b' AS end_station_key, 1L AS rider_type_key, CAST(NULL AS bigint) AS bike_type_key")
+    stations = spark.sql("SELECT 'a' AS station_key")
+    found = quality.schema_tests({"fact_trips": fact}, {"dim_station": stations})
+    with pytest.raises(quality.QualityGateError, match="bike_type_key not_null, fact_trips.end_station_key relationship"):
+        quality.finish_schema_tests("WAREHOUSE", found, layers.name("audit", TESTS_TABLE), "r")
+    # six not null, one unique, two relationships whose parent is there
+    assert schema_tests(layers).count() == 9
+
+
+def test_later_steps_read_published_tables_only(spark, layers):
+    run = BatchRun(layers, "r")
+    run.load_raw(raw(spark, *TRIPS), information(spark))
+    run.build_staging()
+    run.build_intermediate()
+    for df in (run.staged_trips(), run.clean_trips(), run.rejected_trips()):
+        assert "raw_trips" not in df._jdf.queryExecution().toString()

@@ -7,7 +7,7 @@ is a projection of a single row, and only that row's audit rows reach the driver
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from velolake.functions import trimmed
 from velolake.operators.trips import BIKE_TYPES, LATITUDES, LONGITUDES, RIDER_TYPES, STATION_IDS
-from velolake.schemas import AUDIT, COUNT_FIELDS
+from velolake.schemas import AUDIT, COUNT_FIELDS, SCHEMA_TESTS
 
 # Fixed values.
 FRESHNESS_LIMIT_MINUTES = 5
@@ -432,6 +432,9 @@ UNIQUE_COLUMNS = {
     "mart_station_live": ("station_key",),
 }
 
+# Metrics of the daily mart that must not be negative.
+DAILY_METRICS = ("total_rides", "avg_ride_duration_minutes", "avg_trip_distance_km")
+
 # Child table and column, parent table and column.
 RELATIONSHIPS = tuple(("fact_trips", key, *parent) for key, parent in FACT_KEYS.items()) + (
     ("fact_station_status", "station_key", "dim_station", "station_key"),
@@ -478,4 +481,60 @@ def orphan_rows(child: DataFrame, column: str, parent: DataFrame, parent_column:
 
 def negative_metrics(daily: DataFrame) -> DataFrame:
     """Rows of the daily mart with a negative metric."""
-    return daily.where(any_negative("total_rides", "avg_ride_duration_minutes", "avg_trip_distance_km"))
+    return daily.where(any_negative(*DAILY_METRICS))
+
+
+# All declared tests of a layer -------------------------------------------------------------
+
+
+def schema_tests(tables: Mapping[str, DataFrame], parents: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """(table_name, column_name, test_name, violations) of every rule declared above for these tables.
+
+    One aggregation per table counts all its rules that look at single rows. A unique column is one
+    more shuffle, of rows combined per key on the map side (violations are repeated keys), and so is
+    a relationship (violations are rows without a parent). Relationships need their parents.
+    """
+    parts = []
+    for table, df in tables.items():
+        counted = {("not_null", name): count_where(F.col(name).isNull()) for name in NOT_NULL_COLUMNS.get(table, ())}
+        counted |= {("accepted_values", name): count_where(~F.col(name).isin(*values))
+                    for name, values in ACCEPTED_VALUES.get(table, {}).items()}
+        if table == "mart_daily_rides":
+            counted["non_negative", "total_rides"] = count_where(any_negative(*DAILY_METRICS))
+        if counted:
+            measures = measure(df, **{f"m{i}": column for i, column in enumerate(counted.values())})
+            rules = [F.struct(F.lit(column).alias("column_name"), F.lit(test).alias("test_name"), F.col(f"m{i}").alias("violations"))
+                     for i, (test, column) in enumerate(counted)]
+            parts.append(measures.select(F.lit(table).alias("table_name"), F.inline(F.array(*rules))))
+        for column in UNIQUE_COLUMNS.get(table, ()):
+            parts.append(_tested(repeated_keys(df, column).agg(rows().alias("violations")), table, column, "unique"))
+    for child, column, parent, parent_column in RELATIONSHIPS:
+        if child in tables and parent in (parents or {}):
+            orphans = orphan_rows(tables[child], column, parents[parent], parent_column)
+            orphans = orphans.agg(F.coalesce(F.sum("occurrences"), F.lit(0)).alias("violations"))
+            parts.append(_tested(orphans, child, column, "relationship"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _tested(violations: DataFrame, table: str, column: str, test: str) -> DataFrame:
+    return violations.select(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), F.lit(test).alias("test_name"), "violations")
+
+
+def finish_schema_tests(layer: str, tested: DataFrame, results_table: str | None = None,
+                        run_id: str | None = None, dag_id: str | None = None) -> list[Row]:
+    """Append the result of every test, one row each, then raise if any has violations."""
+    spark = tested.sparkSession
+    found = tested.select(
+        F.lit(run_id).cast("string").alias("run_id"),
+        F.lit(dag_id).cast("string").alias("dag_id"),
+        F.lit(layer).alias("layer"),
+        "table_name", "column_name", "test_name", "violations",
+        F.when(F.col("violations") == 0, "PASS").otherwise("FAIL").alias("status"),
+        F.current_timestamp().alias("checked_at"),
+    ).collect()
+    if results_table:
+        spark.createDataFrame(found, SCHEMA_TESTS).coalesce(1).write.mode("append").saveAsTable(results_table)
+    failed = [f"{row.table_name}.{row.column_name} {row.test_name}" for row in found if row.status == "FAIL"]
+    if failed:
+        raise QualityGateError(f"{layer} schema tests FAILED: {', '.join(failed)}")
+    return found

@@ -1,7 +1,9 @@
 """Daily batch: raw tables -> staging -> intermediate -> warehouse -> analytics.
 
-Staging and intermediate stay lazy: their readers prune them to the columns they need.
-Each layer's gate appends its checks to the audit table and stops the run on a failure.
+Staged, clean and rejected rows are published as tables of their layers, so raw trips are read once
+and every later step reads a stored table, pruned to the columns it needs. Each layer ends with its
+gate, which appends its checks to the audit table, and then its schema tests (declared columns that
+are not NULL, unique, of accepted values, or keys of a parent), which have a table of their own.
 """
 
 from __future__ import annotations
@@ -16,6 +18,17 @@ from velolake.sources.station_feed import require_stations
 from velolake.sources.tables import Layers
 
 AUDIT_TABLE = "quality_audit"
+TESTS_TABLE = "schema_tests"
+
+# The tables that the schema tests of a layer read.
+TESTED = {
+    "STAGING": (("staging", "stg_trips"), ("staging", "stg_station_information")),
+    "INTERMEDIATE": (("intermediate", "int_trips_clean"), ("intermediate", "int_trips_invalid"),
+                     ("intermediate", "int_station_information_clean")),
+    "WAREHOUSE": (("mart", "dim_date"), ("mart", "dim_station"), ("mart", "dim_rider_type"), ("mart", "dim_bike_type"),
+                  ("mart", "fact_trips")),
+    "ANALYTICS": (("mart", "mart_daily_rides"), ("mart", "mart_hourly_rides"), ("mart", "mart_station_performance")),
+}
 
 
 @dataclass
@@ -23,7 +36,8 @@ class BatchRun:
     """One run over the raw tables `raw_trips` and `station_information`.
 
     `mode` chooses the rejected set, see trips.rejected_trips. In "reference" mode the
-    intermediate gate fails when a trip is neither clean nor rejected.
+    intermediate gate fails when a trip is neither clean nor rejected. `on_failure` is "stop",
+    or "record" to keep every result of gates and schema tests and go on.
     """
 
     layers: Layers
@@ -31,26 +45,43 @@ class BatchRun:
     dag_id: str = "daily_batch"
     mode: str = "reference"
     rows: dict[str, int] = field(default_factory=dict)
+    published: dict[str, int] = field(default_factory=dict)
+    on_failure: str = "stop"
+
+    def __post_init__(self) -> None:
+        if self.on_failure not in ("stop", "record"):
+            raise ValueError(f"unknown on_failure: {self.on_failure}")
 
     def load_raw(self, raw_trips: DataFrame, station_information: DataFrame) -> None:
         use_library_settings(self.layers.spark)
         self._refresh(raw_trips, "raw", "raw_trips")
         self._refresh(require_stations(station_information), "raw", "station_information")
 
+    def build_staging(self) -> None:
+        raw = {name: self.layers.read("raw", name) for name in ("raw_trips", "station_information")}
+        self._publish(staging.stage_trips(raw["raw_trips"]), "staging", "stg_trips")
+        self._publish(staging.stage_station_information(raw["station_information"]), "staging", "stg_station_information")
+
+    def build_intermediate(self) -> None:
+        clean, rejected = trips.split_trips(self.staged_trips(), self.mode)
+        self._publish(clean, "intermediate", "int_trips_clean")
+        self._publish(rejected, "intermediate", "int_trips_invalid")
+        self._publish(stations.clean_station_information(self.staged_stations()), "intermediate", "int_station_information_clean")
+
     def staged_trips(self) -> DataFrame:
-        return staging.stage_trips(self.layers.read("raw", "raw_trips"))
+        return self.layers.read("staging", "stg_trips")
 
     def staged_stations(self) -> DataFrame:
-        return staging.stage_station_information(self.layers.read("raw", "station_information"))
+        return self.layers.read("staging", "stg_station_information")
 
     def clean_trips(self) -> DataFrame:
-        return trips.clean_trips(self.staged_trips())
+        return self.layers.read("intermediate", "int_trips_clean")
 
     def rejected_trips(self) -> DataFrame:
-        return trips.rejected_trips(self.staged_trips(), self.mode)
+        return self.layers.read("intermediate", "int_trips_invalid")
 
     def clean_stations(self) -> DataFrame:
-        return stations.clean_station_information(self.staged_stations())
+        return self.layers.read("intermediate", "int_station_information_clean")
 
     def check_staging(self) -> None:
         self._gate("STAGING", quality.check_staged_trips(self.staged_trips()),
@@ -92,9 +123,11 @@ class BatchRun:
         self._gate("ANALYTICS", quality.check_marts(*[self.layers.read("mart", name) for name in names]))
 
     def run(self, raw_trips: DataFrame, station_information: DataFrame) -> dict[str, int]:
-        """All steps in order; returns the rows written per table."""
+        """All steps in order; returns the rows written per raw table and mart, `published` has those between."""
         self.load_raw(raw_trips, station_information)
+        self.build_staging()
         self.check_staging()
+        self.build_intermediate()
         self.check_intermediate()
         self.build_warehouse()
         self.check_warehouse()
@@ -109,8 +142,23 @@ class BatchRun:
     def _refresh(self, df: DataFrame, layer: str, table: str) -> None:
         self.rows[table] = self.layers.refresh(df, layer, table)
 
+    def _publish(self, df: DataFrame, layer: str, table: str) -> None:
+        self.published[table] = self.layers.refresh(df, layer, table)
+
     def _gate(self, layer: str, *checked: DataFrame) -> None:
         results = checked[0]
         for more in checked[1:]:
             results = results.unionByName(more)
-        quality.finish_gate(layer, results, self.layers.name("audit", AUDIT_TABLE), self.run_id, self.dag_id)
+        tables = {table: self.layers.read(place, table) for place, table in TESTED[layer]}
+        parents = self.dimensions() if layer == "WAREHOUSE" else {}
+        finish = (
+            lambda: quality.finish_gate(layer, results, self.layers.name("audit", AUDIT_TABLE), self.run_id, self.dag_id),
+            lambda: quality.finish_schema_tests(layer, quality.schema_tests(tables, parents), self.layers.name("audit", TESTS_TABLE),
+                                                self.run_id, self.dag_id),
+        )
+        for step in finish:
+            try:
+                step()
+            except quality.QualityGateError:
+                if self.on_failure == "stop":
+                    raise

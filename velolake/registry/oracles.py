@@ -28,7 +28,8 @@ def _km(lat1: str, lng1: str, lat2: str, lng2: str) -> str:
 
 
 VALID_TRIP = """ride_id IS NOT NULL AND ended_at > started_at
-    AND start_station_id || start_station_name || end_station_id || end_station_name IS NOT NULL
+    AND start_station_id IS NOT NULL AND start_station_name IS NOT NULL
+    AND end_station_id IS NOT NULL AND end_station_name IS NOT NULL
     AND member_casual IN ('member', 'casual') AND rideable_type IN ('classic_bike', 'electric_bike')
     AND abs(start_lat) <= 90 AND abs(end_lat) <= 90 AND abs(start_lng) <= 180 AND abs(end_lng) <= 180"""
 
@@ -41,11 +42,11 @@ KNOWN_FAULT = """ride_id IS NULL OR started_at IS NULL OR ended_at IS NULL OR en
 
 REASON = """CASE WHEN ride_id IS NULL THEN 'missing ride_id'
     WHEN started_at IS NULL OR ended_at IS NULL THEN 'missing timestamp'
-    WHEN NOT started_at < ended_at THEN 'invalid trip time'
-    WHEN coalesce(member_casual, '') NOT IN ('member', 'casual') THEN 'invalid user type'
-    WHEN coalesce(rideable_type, '') NOT IN ('classic_bike', 'electric_bike') THEN 'invalid bike type'
-    WHEN start_station_id || end_station_id IS NULL THEN 'missing station'
-    WHEN start_lat + start_lng + end_lat + end_lng IS NULL THEN 'missing coordinates'
+    WHEN ended_at <= started_at THEN 'invalid trip time'
+    WHEN member_casual IS NULL OR member_casual NOT IN ('member', 'casual') THEN 'invalid user type'
+    WHEN rideable_type IS NULL OR rideable_type NOT IN ('classic_bike', 'electric_bike') THEN 'invalid bike type'
+    WHEN start_station_id IS NULL OR end_station_id IS NULL THEN 'missing station'
+    WHEN start_lat IS NULL OR start_lng IS NULL OR end_lat IS NULL OR end_lng IS NULL THEN 'missing coordinates'
     ELSE 'invalid coordinates' END"""
 
 TABLES = {
@@ -108,7 +109,7 @@ TABLES = {
         FROM raw_station_information""",
     "int_station_information_clean": """
         SELECT * FROM stg_station_information
-        WHERE station_id || short_name || station_name IS NOT NULL
+        WHERE station_id IS NOT NULL AND short_name IS NOT NULL AND station_name IS NOT NULL
             AND abs(latitude) <= 90 AND abs(longitude) <= 180 AND coalesce(capacity, 0) >= 0""",
     "raw_station_status": """
         SELECT event_id, 'g' || user_id AS station_id,
@@ -211,10 +212,6 @@ TABLES = {
     "known_events": """
         SELECT * FROM valid_events WHERE num_docks_available IS NOT NULL
             AND station_id IN (SELECT gbfs_station_id FROM dim_station WHERE gbfs_station_id IS NOT NULL)""",
-    "first_trips": """
-        SELECT * FROM int_trips_clean QUALIFY row_number() OVER (PARTITION BY ride_id
-            ORDER BY started_at, ended_at, rideable_type, member_casual, start_station_id) = 1""",
-    "first_dates": "SELECT DISTINCT trip_date FROM first_trips",
     "dlq": """
         SELECT error_reason, _ingested_at AS detected_at FROM event_outcomes WHERE error_reason IS NOT NULL""",
 }
@@ -556,20 +553,6 @@ SELECTS: dict[str, str] = {
         FROM event_outcomes WHERE error_reason IS NOT NULL GROUP BY ALL""",
     "stream_station_live": """SELECT * FROM valid_events WHERE (station_id, snapshot_timestamp) IN
         (SELECT (station_id, max(snapshot_timestamp)) FROM valid_events GROUP BY station_id)""",
-    "daily_batch": _all(
-        *[f"SELECT '{name}' AS table_name, count(DISTINCT ride_id) AS rows FROM int_trips_clean"
-          for name in ("raw_trips", "fact_trips")],
-        *[f"SELECT '{name}', count(*) FROM {source}" for name, source in (
-            ("station_information", "supplier"), ("dim_date", "first_dates"), ("dim_station", "dim_station"),
-            ("dim_rider_type", "dim_rider_type"), ("dim_bike_type", "dim_bike_type"))],
-        "SELECT 'mart_daily_rides', count(DISTINCT (trip_date, member_casual, rideable_type)) FROM first_trips",
-        "SELECT 'mart_hourly_rides', count(DISTINCT (trip_date, ride_hour, member_casual, rideable_type)) FROM first_trips",
-        """SELECT 'mart_station_performance', count(DISTINCT (trip_date, station)) FROM (
-            SELECT trip_date, start_station_id AS station FROM first_trips
-            UNION ALL SELECT trip_date, end_station_id FROM first_trips)""",
-        # 3 + 4 staging, 4 + 5 intermediate, 6 + 4 * 3 warehouse and 4 analytics checks.
-        "SELECT 'quality_audit', 38",
-    ),
     "realtime_refresh": """SELECT 'fact_station_status_' || load AS table_name,
             (SELECT count(*) FROM known_events WHERE (snapshot_timestamp < TIMESTAMP '2024-01-15') = (load = 1) AND load < 3) AS rows
         FROM (VALUES (1), (2), (3)) AS loads(load)
@@ -645,4 +628,40 @@ def _add_column_tests() -> None:
 
 _add_column_tests()
 
+
+def _whole_batch(mode: str, rejected: str) -> str:
+    """Rows per table of a run over all trips, and whatever gates and schema tests find."""
+    sources = {
+        "raw_trips": "raw_trips", "station_information": "raw_station_information", "stg_trips": "stg_trips",
+        "stg_station_information": "stg_station_information", "int_trips_clean": "int_trips_clean",
+        "int_trips_invalid": rejected, "int_station_information_clean": "int_station_information_clean",
+        **{name: name for name in ("dim_date", "dim_station", "dim_rider_type", "dim_bike_type", "fact_trips",
+                                   "mart_daily_rides", "mart_hourly_rides", "mart_station_performance")},
+    }
+    gates = _all(STAGED_TRIPS, STAGED_STATIONS, _checked_trips(rejected), SELECTS["dq_int_station_information"],
+                 SELECTS["dq_dimensions"], SELECTS["dq_fact_trips"], SELECTS["dq_analytics"])
+    not_null = " AND ".join(f"table_name <> '{name}'" for name in
+                            ("stg_station_status", "int_station_status", "fact_station_status", "mart_station_live", "int_trips_invalid"))
+    tests = _all(
+        f"SELECT 'not_null' AS test, table_name, column_name, violations FROM ({SELECTS['check_not_null']}) WHERE {not_null}",
+        *[f"SELECT 'not_null', 'int_trips_invalid', '{name}', count(*) - count({name}) FROM {rejected}" for name in ("ride_id", "invalid_reason")],
+        f"SELECT 'accepted_values', * FROM ({SELECTS['check_accepted_values']}) WHERE table_name <> 'stg_trips'",
+        f"""SELECT 'unique', table_name, column_name, repeated_keys FROM ({SELECTS['check_unique']})
+            WHERE table_name <> 'mart_station_live'""",
+        f"""SELECT 'relationship', table_name, column_name, orphan_rows FROM ({SELECTS['check_relationship']})
+            WHERE table_name <> 'fact_station_status'""",
+        f"SELECT 'non_negative', 'mart_daily_rides', 'total_rides', count(*) FROM ({SELECTS['check_non_negative_metrics']})",
+    )
+    return _all(
+        *[f"SELECT '{mode}' AS mode, 'rows of {table}' AS item, CAST(count(*) AS VARCHAR) AS result FROM {source}"
+          for table, source in sources.items()],
+        f"SELECT '{mode}', 'FAIL ' || table_name || '.' || check_name, actual_value FROM ({gates}) WHERE status = 'FAIL'",
+        f"SELECT '{mode}', 'FAIL ' || test || ' ' || table_name || '.' || column_name, CAST(violations AS VARCHAR) FROM ({tests}) WHERE violations > 0",
+        f"SELECT '{mode}', 'audited checks', CAST(count(*) AS VARCHAR) FROM ({gates})",
+        f"SELECT '{mode}', 'schema tests', CAST(count(*) AS VARCHAR) FROM ({tests})",
+    )
+
+
+SELECTS["daily_batch"] = _all(_whole_batch("reference", "int_trips_invalid"), _whole_batch("complete", "int_trips_not_clean"))
+
 ORACLES: dict[str, str] = {name: _with_tables(select) for name, select in SELECTS.items()}

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velolake.operators import dashboard, marts, quality, stations, status, trips, warehouse
-from velolake.plans.batch import AUDIT_TABLE, BatchRun
+from velolake.plans.batch import AUDIT_TABLE, TESTS_TABLE, BatchRun
 from velolake.plans.realtime import RealtimeRefresh
 from velolake.registry.sample import Sample
 from velolake.schemas import DEAD_LETTERS, RAW_STATION_STATUS, RAW_TRIPS
@@ -850,15 +850,26 @@ def _written(s: Sample, rows: list[tuple[str, int]]) -> DataFrame:
 
 @query("daily_batch")
 def daily_batch(s: Sample) -> DataFrame:
-    """The daily batch with all its gates over trips without faults: rows per table, and audited checks.
+    """The daily batch over all raw trips in both modes, failures recorded: rows per table, and what gates and schema tests found.
 
     The given trips are few per day, so the trip tables stay whole here.
     """
-    layers = _layers(s)
-    faultless = trips.dedupe_trips(s.stored_trips.select(RAW_TRIPS.names))
-    written = BatchRun(layers, run_id="batch").run(faultless, s.raw_station_information)
-    passed = layers.read("audit", AUDIT_TABLE).where("status = 'PASS'").count()
-    return _written(s, [*written.items(), (AUDIT_TABLE, passed)])
+    parts = []
+    for mode in ("reference", "complete"):
+        layers = _layers(s)
+        run = BatchRun(layers, run_id="batch", mode=mode, on_failure="record")
+        written = run.run(s.raw_trips, s.raw_station_information) | run.published
+        checks, tests = layers.read("audit", AUDIT_TABLE), layers.read("audit", TESTS_TABLE)
+        failed = F.col("status") == "FAIL"
+        parts += [part.select(F.lit(mode).alias("mode"), "item", "result") for part in (
+            _written(s, list(written.items())).select(F.concat(F.lit("rows of "), "table_name").alias("item"), F.col("rows").cast("string").alias("result")),
+            checks.where(failed).select(F.concat(F.lit("FAIL "), "table_name", F.lit("."), "check_name").alias("item"), F.col("actual_value").alias("result")),
+            tests.where(failed).select(F.concat(F.lit("FAIL "), "test_name", F.lit(" "), "table_name", F.lit("."), "column_name").alias("item"),
+                                       F.col("violations").cast("string").alias("result")),
+            checks.agg(F.lit("audited checks").alias("item"), _rows().cast("string").alias("result")),
+            tests.agg(F.lit("schema tests").alias("item"), _rows().cast("string").alias("result")),
+        )]
+    return _union(parts)
 
 
 def _streamed_to_raw(s: Sample, layers: tables.Layers) -> None:

@@ -61,3 +61,11 @@ AUDIT = T.StructType(
     + _fields(STRING, "message")
     + _fields(INSTANT, "checked_at", nullable=False)
 )
+
+SCHEMA_TESTS = T.StructType(
+    _fields(STRING, "run_id", "dag_id")
+    + _fields(STRING, "layer", "table_name", "column_name", "test_name", nullable=False)
+    + _fields(LONG, "violations", nullable=False)
+    + _fields(STRING, "status", nullable=False)
+    + _fields(INSTANT, "checked_at", nullable=False)
+)
