@@ -5,6 +5,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -81,6 +82,42 @@ def test_bound_is_never_too_high():
         assert packing.lower_bound(*np.unique(some, return_counts=True)) <= sum(full) // 1024
 
 
+def test_a_partition_is_certified_by_the_function_of_all_pieces():
+    bound, weights, denominator = packing.best_function(np.array([512, 300]), np.array([6, 4]))
+    assert bound == packing.lower_bound(np.array([512, 300]), np.array([6, 4]))
+    for lengths, certified in (([512] * 6, True), ([512] * 5, True), ([600, 600, 200], True), ([400, 400, 400, 700, 100], False)):
+        frame = pd.DataFrame({"piece_id": range(len(lengths)), "length": lengths, "round": 0, "part": 0, "bin": 0, "offset": 0})
+        _, table, below = packing.best_function(*np.unique(lengths if certified else [512], return_counts=True))
+        out = packing._packer(0, 1024, table, below)((3,), frame)
+        assert out["certified"].tolist() == [certified] * len(lengths)
+
+
+def test_certified_partitions_settle_and_gaps_exchange(spark, monkeypatch):
+    """Rounds that follow one with gaps deal the pieces of partitions with gaps only, until none is left."""
+    pick = random.Random(5)
+    lengths = [pick.randint(1, 1024) for _ in range(1500)]
+    pieces = spark.createDataFrame(list(enumerate(lengths)), "piece_id long, length long")
+    rounds = []
+    keep = packing.stored
+
+    def noted(df, name):
+        rounds.append(keep(df, name))
+        return rounds[-1]
+
+    monkeypatch.setattr(packing, "stored", noted)
+    packing.pack(pieces, partition_pieces=100)
+    first, second = (df.toPandas() for df in rounds[:2])
+    assert 0 < first["certified"].sum() < len(first)
+    exchanged = first[(first["room"] > 0) & ~first["certified"]]
+    assert set(second["piece_id"]) == set(exchanged["piece_id"])
+
+
+def test_certificates_do_not_cost_sequences(spark):
+    """Every partition of halves meets its bound, odd ones with half a sequence to spare: those are paired in the end."""
+    pieces = spark.range(2000).select(F.col("id").alias("piece_id"), F.lit(512).cast("long").alias("length"))
+    assert packing.pack(pieces, partition_pieces=50).select("sequence_id").distinct().count() == 1000
+
+
 def test_partitions_exchange(spark):
     """Small partitions waste room; exchanging what is in sequences with room saves sequences."""
     pick = random.Random(8)
