@@ -5,18 +5,24 @@ gzipped on its own, and `indexes/index.cdx`, a line per record with its place in
 and offsets are in ZIP64 fields. The reader parses the end records and the central directory,
 finds where the members' bytes begin, and fetches ranges of records that the index names.
 
+Packages of other writers are read too: any number of archives `archive/*.warc` or `.warc.gz`, index members
+below `indexes/` with an object of `filename`, `offset` and `length` at the end of each line, plain or
+gzipped, and records of any type without the headers of this writer.
+
 Files go through pyarrow's file systems, so a folder may be on any store that these can open.
 """
 
 from __future__ import annotations
 
+import base64
 import gzip
 import hashlib
 import json
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from datetime import UTC, datetime
 from typing import BinaryIO
 
 import pyarrow as pa
@@ -35,6 +41,9 @@ RANGE_BYTES = 8 << 20
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 
+# Fixed values of WARC: the profile of a revisit of an equal payload.
+SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+
 # Fixed values of the ZIP format: signatures, and the marks of fields that stand in ZIP64 records.
 LOCAL, CENTRAL, DESCRIPTOR = b"PK\x03\x04", b"PK\x01\x02", b"PK\x07\x08"
 END, END64, LOCATOR64 = b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07"
@@ -149,37 +158,79 @@ def plain_value(text: str) -> str:
     return out.decode()
 
 
-def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: str, kind: str, refers_to: int | None) -> bytes:
-    """A gzipped WARC record; a revisit names the response that holds its payload."""
+def target_uri(url: str) -> str:
+    """The url with everything but visible ASCII percent-encoded; what is encoded already stays."""
+    return "".join(c if "!" <= c <= "~" else "".join(f"%{b:02X}" for b in c.encode()) for c in url)
+
+
+def now() -> str:
+    return datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+
+
+def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: str, kind: str, refers_to: int | None,
+                 date: str | None = None) -> bytes:
+    """A gzipped WARC record of its own id; a revisit names the page whose response holds its payload.
+
+    A url that is no URI as it stands is also kept whole in a header of its own.
+    """
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n" + (payload if kind == "response" else b"")
-    headers = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {url} {digest}')}>"),
-               ("WARC-Page-ID", page_id), ("WARC-Target-URI", url), ("WARC-Payload-Digest", f"sha1:{digest}"), ("WARC-Payload-Length", len(payload)),
-               ("WARC-Refers-To-Page-ID", refers_to), ("Content-Type", "application/http; msgtype=response"), ("Content-Length", len(block))]
-    head = "".join(f"{k}: {header_value(v)}\r\n" for k, v in headers if v is not None)
+    uri = None if url is None else target_uri(url)
+    headers = [("WARC-Type", kind), ("WARC-Record-ID", f"<{uuid.uuid4().urn}>"), ("WARC-Date", date or now()),
+               ("WARC-Page-ID", page_id), ("WARC-Target-URI", uri), ("WARC-Page-URL", None if uri == url else header_value(url)),
+               ("WARC-Payload-Digest", f"sha1:{base64.b32encode(bytes.fromhex(digest)).decode()}"), ("WARC-Payload-Length", len(payload)),
+               ("WARC-Profile", SAME_PAYLOAD if kind == "revisit" else None), ("WARC-Refers-To-Page-ID", refers_to),
+               ("Content-Type", "application/http; msgtype=response"), ("Content-Length", len(block))]
+    head = "".join(f"{k}: {v}\r\n" for k, v in headers if v is not None)
     return gzip.compress(b"WARC/1.1\r\n" + head.encode() + b"\r\n" + block + b"\r\n\r\n", compresslevel=6, mtime=0)
 
 
+def hex_digest(value: str | None) -> str | None:
+    """A SHA-1 digest of a header in lower-case hexadecimal, from there or from base32; None for other algorithms."""
+    algorithm, _, digest = (value or "").partition(":")
+    if algorithm.lower() != "sha1":
+        return None
+    return digest.lower() if len(digest) == 40 else base64.b32decode(digest.upper()).hex()
+
+
 def parse_record(data: bytes) -> tuple:
-    """The row of a gzipped record; the payload of a response is checked against its digest."""
-    plain = gzip.decompress(data)
+    """The row of a record, gzipped or plain; the payload of a response or resource is checked against its digest.
+
+    The payload of a record of HTTP is what follows its head, that of another the whole block. Revisits and records
+    about the crawl have none. A page id and the size of a revisit's payload are known from this writer only.
+    """
+    plain = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
     head, _, rest = plain.partition(b"\r\n\r\n")
     version, *lines = head.decode().split("\r\n")
     if not version.startswith("WARC/"):
         raise ValueError("not a WARC record")
-    values = dict(line.split(": ", 1) for line in lines)
-    block = rest[:int(values["Content-Length"])]
+    values: dict[str, str] = {}
+    for line in lines:
+        if line[:1] in (" ", "\t") and values:  # goes on with the header before
+            values[name] += " " + line.strip()
+        else:
+            name, _, value = line.partition(":")
+            name = name.strip().lower()
+            values[name] = value.strip()
+    block = rest[:int(values["content-length"])]
     if rest[len(block):] != b"\r\n\r\n":
         raise ValueError("a WARC record does not end where its length says")
-    kind, digest, size = values["WARC-Type"], values["WARC-Payload-Digest"].removeprefix("sha1:"), int(values["WARC-Payload-Length"])
-    payload = None
-    if kind == "response":
-        payload = block.partition(b"\r\n\r\n")[2]
-        size = len(payload)
-        if hashlib.sha1(payload).hexdigest() != digest:
+    kind, digest = values["warc-type"], hex_digest(values.get("warc-payload-digest"))
+    payload, size = None, _number(values, "warc-payload-length")
+    if kind in ("response", "resource"):
+        http = values.get("content-type", "").lower().startswith("application/http")
+        payload = block.partition(b"\r\n\r\n")[2] if http else block
+        size, found = len(payload), hashlib.sha1(payload).hexdigest()
+        if digest not in (None, found):
             raise ValueError("a payload does not match its digest")
-    url = values.get("WARC-Target-URI")
-    number = {k: int(values[k]) if k in values else None for k in ("WARC-Page-ID", "WARC-Refers-To-Page-ID")}
-    return number["WARC-Page-ID"], url if url is None else plain_value(url), size, digest, kind, number["WARC-Refers-To-Page-ID"], payload
+        digest = found
+    url = values.get("warc-target-uri")
+    if url is not None:
+        url = plain_value(values["warc-page-url"]) if "warc-page-url" in values else url.removeprefix("<").removesuffix(">")
+    return _number(values, "warc-page-id"), url, size, digest, kind, _number(values, "warc-refers-to-page-id"), payload
+
+
+def _number(values: Mapping[str, str], name: str) -> int | None:
+    return int(values[name]) if name in values else None
 
 
 def with_revisits(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
@@ -202,8 +253,10 @@ def write_packages(records: DataFrame, folder: str) -> DataFrame:
     """Write records of `with_revisits` into packages below `folder`; path, bytes and records of each.
 
     The returned list is stored, and only packages in it count: what a lost or repeated task
-    attempt left behind is in no list.
+    attempt left behind is in no list. All records have the date at which writing began.
     """
+    date = now()
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = pyarrow.fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
         system.create_dir(root, recursive=True)
@@ -225,9 +278,9 @@ def write_packages(records: DataFrame, folder: str) -> DataFrame:
                     package = PackageWriter(system.open_output_stream(f"{root}/{name}"))
                     package.open(DATA)
                 page_id, url, html, digest, kind, refers_to = row
-                record = record_bytes(page_id, url, html.encode(), digest, kind, refers_to)
+                record = record_bytes(page_id, url, html.encode(), digest, kind, refers_to, date)
                 start = package.add(record)
-                lines.append(json.dumps({"page_id": page_id, "offset": start, "length": len(record)}) + "\n")
+                lines.append(json.dumps({"page_id": page_id, "filename": DATA.removeprefix("archive/"), "offset": start, "length": len(record)}) + "\n")
                 if package.at >= PACKAGE_BYTES:
                     finish()
                     package = None
@@ -244,6 +297,37 @@ def _opened(path: str) -> tuple[BinaryIO, int]:
     return system.open_input_file(place), system.get_file_info(place).size
 
 
+def located_records(source: BinaryIO, size: int) -> list[tuple[int, int]]:
+    """Place and length of every record that the indexes of a package name, each once, in the order of their places."""
+    members = members_of(source, size)
+    archives = {name.removeprefix("archive/"): place for name, place in members.items()
+                if name.startswith("archive/") and name.endswith((".warc", ".warc.gz"))}
+    found, indexes = set(), 0
+    for name, place in members.items():
+        if not name.startswith("indexes/") or not name.removesuffix(".gz").endswith((".cdx", ".cdxj")):
+            continue
+        indexes += 1
+        data = read_range(source, *place)
+        lines = (gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data).decode().splitlines()
+        for line in lines:
+            if "{" not in line:
+                continue  # the head of an index
+            entry = json.loads(line[line.index("{"):])
+            named = entry.get("filename")
+            if named is None and len(archives) == 1:
+                named = next(iter(archives))
+            if (named or "").removeprefix("archive/") not in archives:
+                raise ValueError(f"an index names no stored archive: {named}")
+            first, length = archives[named.removeprefix("archive/")]
+            offset, taken = int(entry["offset"]), int(entry["length"])
+            if offset + taken > length:
+                raise ValueError("an index names a place beyond its archive")
+            found.add((first + offset, taken))
+    if archives and not indexes:
+        raise ValueError("no stored index in the package")
+    return sorted(found)
+
+
 def package_ranges(packages: DataFrame) -> DataFrame:
     """path, start, length and the lengths of the records of each range, from directories and indexes alone."""
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,14 +335,14 @@ def package_ranges(packages: DataFrame) -> DataFrame:
             for path in batch.column("path").to_pylist():
                 source, size = _opened(path)
                 with source:
-                    members = members_of(source, size)
-                    index = read_range(source, *members[INDEX])
-                first, out = members[DATA][0], []
-                for line in index.decode().splitlines():
-                    entry = json.loads(line)
-                    if not out or sum(out[-1][2]) >= RANGE_BYTES:
-                        out.append((path, first + entry["offset"], []))
-                    out[-1][2].append(entry["length"])
+                    records = located_records(source, size)
+                out, end, taken = [], None, 0
+                for place, length in records:
+                    if place != end or taken >= RANGE_BYTES:  # a gap, or enough for a read
+                        out.append((path, place, []))
+                        taken = 0
+                    out[-1][2].append(length)
+                    end, taken = place + length, taken + length
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out]), pa.array([x[1] for x in out], pa.int64()),
                                                       pa.array([x[2] for x in out], pa.list_(pa.int64()))], names=["path", "start", "lengths"])
