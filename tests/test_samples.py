@@ -91,3 +91,14 @@ def test_busy_station_is_split_when_stations_are_many(no_broadcast):
     fact.collect()
     plan = fact._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_station_dimension_alone_stores_no_trips(spark):
+    """Status queries need the stations only; a query that reads the trips too shares the stored ones."""
+    folder = str(GIVEN / "sf0.001")
+    alone, both = Sample(spark, folder, share=False), Sample(spark, folder, share=False)
+    dim = alone.dim_station
+    assert "stored_trips" not in alone.__dict__
+    stored_files = both.stored_trips.inputFiles()
+    assert both.station_trips.inputFiles() == stored_files
+    assert sorted(map(str, dim.collect())) == sorted(map(str, both.dim_station.collect()))
