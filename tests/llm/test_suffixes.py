@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from velolake.llm import suffixes
@@ -95,3 +96,19 @@ def test_loser_tree(runs):
     texts = sorted(t for x in lists for t in x)
     assert [t for t, _ in merged] == texts
     assert [n for _, n in merged] == [suffixes.common_prefix(a, b) for a, b in zip([b"", *texts], texts, strict=False)]
+
+
+def test_copies_give_few_spans(spark):
+    """A bucket unites what overlaps in a document: copies do not give a row for every anchor in them."""
+    pick = random.Random(12)
+    text = "".join(pick.choice("abcdefgh ") for _ in range(20_000))
+    docs = spark.createDataFrame([(i, text) for i in range(60)], "doc_id long, text string").coalesce(1)
+    assert suffixes.removed(docs).count() < 60 * 30
+    assert {(r.n_bytes, r.n_removed, r.n_spans) for r in suffixes.dedup_strings(docs).collect()} == {(20_000, 20_000, 1)}
+
+
+def test_united_spans():
+    rows = [(1, 7, 0, 400), (2, 7, 100, 500), (1, 7, 400, 900), (1, 7, 50, 450), (1, 8, 10, 410), (1, 7, 901, 1301), (2, 7, 600, 1000), (2, 7, 0, 2000)]
+    spans = pd.DataFrame(rows, columns=["doc", "code", "first", "last"])
+    assert suffixes.united(spans).values.tolist() == [[1, 7, 0, 900], [1, 7, 901, 1301], [1, 8, 10, 410], [2, 7, 0, 2000]]
+    assert suffixes.united(spans.iloc[:0]).empty
