@@ -2,6 +2,8 @@
 
 from datetime import timedelta
 
+import pyarrow as pa
+import pyarrow.dataset
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +14,8 @@ from tests.test_status import raw as raw_status
 from velolake.operators import quality
 from velolake.plans.batch import AUDIT_TABLE, TESTS_TABLE, BatchRun
 from velolake.plans.realtime import RealtimeRefresh
-from velolake.schemas import DEAD_LETTERS, RAW_STATION_INFORMATION
+from velolake.registry.queries import daily_batch
+from velolake.schemas import AUDIT, DEAD_LETTERS, RAW_STATION_INFORMATION, SCHEMA_TESTS
 
 TRIPS = [{"ride_id": f"r{i}", "started_at": f"2026-01-0{1 + i % 3} 08:00:00", "ended_at": f"2026-01-0{1 + i % 3} 08:30:00",
           "start_station_id": "JC1", "end_station_id": f"JC{1 + i % 2}"} for i in range(6)]
@@ -190,3 +193,50 @@ def test_later_steps_read_published_tables_only(spark, layers):
     run.build_intermediate()
     for df in (run.staged_trips(), run.clean_trips(), run.rejected_trips()):
         assert "raw_trips" not in df._jdf.queryExecution().toString()
+
+
+def test_ride_ids_of_a_table_are_counted_once(spark, layers, monkeypatch):
+    def counted(of):
+        def only_stations(*columns):
+            assert "ride_id" not in columns
+            return of(*columns)
+        return only_stations
+
+    monkeypatch.setattr(quality, "duplicates", counted(quality.duplicates))
+    monkeypatch.setattr(quality, "repeated_keys", counted(quality.repeated_keys))
+    trips = raw(spark, *TRIPS, {"ride_id": "r1"}, {"ride_id": None})
+    BatchRun(layers, "r", on_failure="record").run(trips, information(spark))
+    duplicates = {r.table_name: r.actual_value for r in audit(layers).where("check_name = 'ride_id_unique'").collect()}
+    assert duplicates == {"stg_trips": "2", "int_trips_clean": "1", "fact_trips": "1"}
+    repeated = schema_tests(layers).where("test_name = 'unique' AND column_name = 'ride_id'").collect()
+    assert {r.table_name: r.violations for r in repeated} == {"stg_trips": 1, "int_trips_clean": 1, "fact_trips": 1}
+
+
+def test_tables_hold_instants_in_microseconds(spark, layers):
+    key = "spark.sql.parquet.outputTimestampType"
+    before, instants = spark.conf.get(key), spark.sql("SELECT TIMESTAMP'2026-01-01 08:00:00.000001' AS t UNION ALL SELECT TIMESTAMP'1500-01-01 00:00:00'")
+    layers.refresh(instants, "raw", "instants")
+    files = [f.removeprefix("file:") for f in layers.read("raw", "instants").inputFiles()]
+    assert pa.dataset.dataset(files).schema.field("t").type == pa.timestamp("us", "UTC")
+    assert sorted(layers.read("raw", "instants").collect()) == sorted(instants.collect()) and spark.conf.get(key) == before
+
+
+def test_daily_batch_derives_raw_rows_once(spark, monkeypatch):
+    loaded = []
+
+    def load_only(run, trips, stations):
+        run.load_raw(trips, stations)
+        run.layers.append(spark.createDataFrame([], AUDIT), "audit", AUDIT_TABLE)
+        run.layers.append(spark.createDataFrame([], SCHEMA_TESTS), "audit", TESTS_TABLE)
+        loaded.append(trips)
+        return {"raw_trips": run.rows["raw_trips"]}
+
+    class Given:
+        raw_trips, raw_station_information = raw(spark, *TRIPS), information(spark)
+
+    Given.spark = spark
+    monkeypatch.setattr(BatchRun, "run", load_only)
+    rows = daily_batch(Given)
+    assert [r.result for r in rows.where("item = 'rows of raw_trips'").collect()] == ["6", "6"]
+    assert loaded[0] is Given.raw_trips and "raw_trips__" in loaded[1].inputFiles()[0]
+    assert sorted(loaded[1].collect(), key=str) == sorted(loaded[0].collect(), key=str)

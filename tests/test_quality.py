@@ -21,6 +21,16 @@ def test_repeated_keys_ignore_null(spark, keyed):
     assert [tuple(row) for row in quality.repeated_keys(both, "k").collect()] == [("a", 2)]
 
 
+def test_tally_gives_duplicates_and_repeated_keys(spark):
+    for ids, expected in (([None, None, "a", "b", "b", "b", "c", "c"], (8, 3, 2)), ([None], (1, 0, 0)), ([], (0, 0, 0))):
+        trips = spark.createDataFrame([(i,) for i in ids], "ride_id string")
+        tally = quality.key_tally(trips, "ride_id")
+        assert tuple(tally.first()) == expected
+        assert quality.check_staged_trips(trips, tally=tally).collect() == quality.check_staged_trips(trips).collect()
+        tested, tallied = quality.schema_tests({"stg_trips": trips}), quality.schema_tests({"stg_trips": trips}, tallies={("stg_trips", "ride_id"): tally})
+        assert tested.collect() == tallied.collect()
+
+
 def test_merged_measures_are_one_row(keyed):
     merged = quality.merge_measures(
         quality.measure(keyed, rows=quality.rows()), quality.measure(keyed, total=F.sum("v"), negative=quality.count_where(F.col("v") < 0)),

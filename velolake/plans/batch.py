@@ -84,12 +84,14 @@ class BatchRun:
         return self.layers.read("intermediate", "int_station_information_clean")
 
     def check_staging(self) -> None:
-        self._gate("STAGING", quality.check_staged_trips(self.staged_trips()),
+        tally = self._tally(self.staged_trips())
+        self._gate("STAGING", {"stg_trips": tally}, quality.check_staged_trips(self.staged_trips(), tally=tally),
                    quality.check_staged_station_information(self.staged_stations()))
 
     def check_intermediate(self) -> None:
-        self._gate("INTERMEDIATE",
-                   quality.check_split_trips(self.staged_trips(), self.clean_trips(), self.rejected_trips()),
+        tally = self._tally(self.clean_trips())
+        self._gate("INTERMEDIATE", {"int_trips_clean": tally},
+                   quality.check_split_trips(self.staged_trips(), self.clean_trips(), self.rejected_trips(), tally=tally),
                    quality.check_station_information(self.clean_stations()))
 
     def build_warehouse(self) -> None:
@@ -106,8 +108,9 @@ class BatchRun:
         dims = self.dimensions()
         keys = {"dim_date": "date_key", "dim_station": "station_key",
                 "dim_rider_type": "rider_type_key", "dim_bike_type": "bike_type_key"}
-        self._gate("WAREHOUSE",
-                   quality.check_fact_trips(self.layers.read("mart", "fact_trips"), self.clean_trips(), dims),
+        fact = self.layers.read("mart", "fact_trips")
+        tally = self._tally(fact)
+        self._gate("WAREHOUSE", {"fact_trips": tally}, quality.check_fact_trips(fact, self.clean_trips(), dims, tally=tally),
                    *[quality.check_dimension(dims[name], name, key) for name, key in keys.items()])
 
     def build_analytics(self) -> None:
@@ -120,7 +123,7 @@ class BatchRun:
 
     def check_analytics(self) -> None:
         names = ("fact_trips", "mart_daily_rides", "mart_hourly_rides", "mart_station_performance")
-        self._gate("ANALYTICS", quality.check_marts(*[self.layers.read("mart", name) for name in names]))
+        self._gate("ANALYTICS", {}, quality.check_marts(*[self.layers.read("mart", name) for name in names]))
 
     def run(self, raw_trips: DataFrame, station_information: DataFrame) -> dict[str, int]:
         """All steps in order; returns the rows written per raw table and mart, `published` has those between."""
@@ -145,16 +148,23 @@ class BatchRun:
     def _publish(self, df: DataFrame, layer: str, table: str) -> None:
         self.published[table] = self.layers.refresh(df, layer, table)
 
-    def _gate(self, layer: str, *checked: DataFrame) -> None:
+    def _tally(self, trips: DataFrame) -> DataFrame:
+        """The ride ids of a stored table are counted once, for the gate and the schema tests of its layer."""
+        counted = quality.key_tally(trips, "ride_id")
+        return self.layers.spark.createDataFrame(counted.collect(), counted.schema)
+
+    def _gate(self, layer: str, ride_ids: dict[str, DataFrame], *checked: DataFrame) -> None:
+        """`ride_ids` has the tally of the ride ids per table."""
         results = checked[0]
         for more in checked[1:]:
             results = results.unionByName(more)
         tables = {table: self.layers.read(place, table) for place, table in TESTED[layer]}
         parents = self.dimensions() if layer == "WAREHOUSE" else {}
+        tallies = {(table, "ride_id"): tally for table, tally in ride_ids.items()}
         finish = (
             lambda: quality.finish_gate(layer, results, self.layers.name("audit", AUDIT_TABLE), self.run_id, self.dag_id),
-            lambda: quality.finish_schema_tests(layer, quality.schema_tests(tables, parents), self.layers.name("audit", TESTS_TABLE),
-                                                self.run_id, self.dag_id),
+            lambda: quality.finish_schema_tests(layer, quality.schema_tests(tables, parents, tallies),
+                                                self.layers.name("audit", TESTS_TABLE), self.run_id, self.dag_id),
         )
         for step in finish:
             try:
