@@ -2,9 +2,11 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from velolake.llm import collocations
@@ -87,3 +89,51 @@ def test_filter_holds_what_it_was_given(spark):
     assert collocations.passing(bits, keys.view(np.uint64)).all()
     others = np.random.default_rng(2).integers(-2**63, 2**63, 5000)
     assert collocations.passing(bits, others.view(np.uint64)).mean() < 0.01
+
+
+def test_a_task_holds_one_chunk():
+    """Counts are passed on chunk by chunk; what a task holds does not grow with its texts."""
+    pick, read = random.Random(4), []
+    every = np.full(1 << 10, ~np.uint64(0))
+
+    def batches(count):
+        for i in range(count):
+            read.append(i)
+            yield pa.RecordBatch.from_pydict({"lang": ["en", "de"] * 50, "text": [b"Ab " + b" ".join(b"%x" % pick.getrandbits(40) for _ in range(100)) for _ in range(100)]})
+
+    def most(count):
+        tracemalloc.start()
+        rows = sum(part.num_rows for part in collocations.phrase_counts(batches(count), every, 50_000))
+        assert rows > 30_000 * count
+        held = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return held
+
+    next(collocations.phrase_counts(batches(20), every, 50_000))
+    assert len(read) == 1
+    most(1)
+    assert most(30) < 1.5 * most(3)
+
+
+def test_phrases_that_share_a_key(monkeypatch):
+    """Keys of few bits: other phrases with the same key are counted by themselves."""
+    rows, keys = texts(5), collocations.Words.keys
+
+    def few(self, size):
+        all_keys, inside = keys(self, size)
+        return all_keys % np.uint64(7), inside
+
+    monkeypatch.setattr(collocations.Words, "keys", few)
+    batch = pa.RecordBatch.from_pydict({"lang": [r[0] or "und" for r in rows], "text": [(r[1] or "").encode() for r in rows]})
+    every, counts = np.full(1 << 10, ~np.uint64(0)), Counter()
+    for part in collocations.phrase_counts(iter([batch]), every, 500):
+        for row in part.to_pylist():
+            counts[row["lang"], row["size"], row["phrase"].decode()] += row["n"]
+    expected = Counter()
+    for lang, text in rows:
+        for piece in re.split("[.,;:!?\n-\r]", (text or "").translate(LOWER)):
+            w = [x for x in re.split("[ \t]+", piece) if x]
+            expected[lang or "und", 0, ""] += len(w)
+            for n in range(1, 5):
+                expected.update((lang or "und", n, " ".join(w[i:i + n])) for i in range(len(w) - n + 1))
+    assert +counts == +expected
