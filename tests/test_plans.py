@@ -1,5 +1,6 @@
 """The daily batch and the realtime refresh over tables, gates and audit rows included."""
 
+import time
 from datetime import timedelta
 
 import pyarrow as pa
@@ -240,3 +241,46 @@ def test_daily_batch_derives_raw_rows_once(spark, monkeypatch):
     assert [r.result for r in rows.where("item = 'rows of raw_trips'").collect()] == ["6", "6"]
     assert loaded[0] is Given.raw_trips and "raw_trips__" in loaded[1].inputFiles()[0]
     assert sorted(loaded[1].collect(), key=str) == sorted(loaded[0].collect(), key=str)
+
+
+def test_daily_batch_leaves_raw_layers_only(spark, monkeypatch):
+    seen, run = [], BatchRun.run
+
+    def watched(batch, trips, stations):
+        seen.append((batch.layers.prefix, {r.namespace for r in spark.sql("SHOW DATABASES").collect()}))
+        return run(batch, trips, stations)
+
+    class Given:
+        raw_trips, raw_station_information = raw(spark, *TRIPS), information(spark)
+
+    Given.spark = spark
+    monkeypatch.setattr(BatchRun, "run", watched)
+    found = daily_batch(Given)
+    (first, _), (second, during) = seen
+    left = {r.namespace for r in spark.sql("SHOW DATABASES").collect()}
+    assert {name for name in during if name.startswith(first)} == {f"{first}_raw"}
+    assert {name for name in left if name.startswith((first, second))} == {f"{first}_raw", f"{second}_raw"}
+    results = {(r.mode, r.item): r.result for r in found.collect()}
+    assert all(results[mode, "rows of fact_trips"] and int(results[mode, "schema tests"]) == 45 for mode in ("reference", "complete"))
+
+
+def test_tables_are_packed_and_shuffles_go(spark, layers):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+        names = set()
+        while files.hasNext():
+            names.add(files.next().getName())
+        return {name for name in names if name.startswith("shuffle_") and name.endswith(".data")}
+
+    before = shuffled()
+    layers.refresh(spark.range(1000).groupBy((F.col("id") % 7).alias("ride_id")).count(), "staging", "stg_trips")
+    run = BatchRun(layers)
+    assert run._tally(layers.read("staging", "stg_trips")).first().total == 7
+    files = [f.removeprefix("file:") for f in layers.read("staging", "stg_trips").inputFiles()]
+    chunk = next(g for f in files for g in pa.dataset.dataset(f).get_fragments()).metadata.row_group(0).column(0)
+    assert chunk.compression == "ZSTD"
+    for _ in range(50):
+        if shuffled() <= before:
+            break
+        time.sleep(0.2)
+    assert shuffled() <= before

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from velolake.operators import marts, quality, staging, stations, trips, warehouse
-from velolake.session import stored, use_library_settings
+from velolake.session import _CLEANUP, setting, stored, use_library_settings
 from velolake.sources.station_feed import require_stations
 from velolake.sources.tables import Layers
 
@@ -150,8 +150,9 @@ class BatchRun:
 
     def _tally(self, trips: DataFrame) -> DataFrame:
         """The ride ids of a stored table are counted once, for the gate and the schema tests of its layer."""
-        counted = quality.key_tally(trips, "ride_id")
-        return self.layers.spark.createDataFrame(counted.collect(), counted.schema)
+        with setting(self.layers.spark, _CLEANUP, "true"):
+            counted = quality.key_tally(trips, "ride_id")
+            return self.layers.spark.createDataFrame(counted.collect(), counted.schema)
 
     def _gate(self, layer: str, ride_ids: dict[str, DataFrame], *checked: DataFrame) -> None:
         """`ride_ids` has the tally of the ride ids per table."""
@@ -168,7 +169,8 @@ class BatchRun:
         )
         for step in finish:
             try:
-                step()
+                with setting(self.layers.spark, _CLEANUP, "true"):  # the shuffles of a gate go with it
+                    step()
             except quality.QualityGateError:
                 if self.on_failure == "stop":
                     raise
